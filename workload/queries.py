@@ -421,7 +421,9 @@ def append_vs_merge(spark, folder):
     records = appearances(spark, folder)
     results = []
     for mode in ("append", "merge"):
-        cfg = replace(run_config(spark, mode), statistics_mode=mode)
+        cfg = replace(
+            run_config(spark, mode), statistics_mode=mode, statistics_partitions=("region",)
+        )
         for _ in range(2):
             load_statistics(records, cfg)
         results.append(
