@@ -51,16 +51,16 @@ def assessed(payloads: DataFrame) -> DataFrame:
     )
 
 
-def attempted(payloads: DataFrame) -> DataFrame:
-    """The payloads a run gets to: a region whose trending payload failed skips its categories.
+def by_kind(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Trending payloads, and the category payloads a run gets to.
 
-    Only the small category payloads are joined; the others pass by.
+    A region whose trending payload failed skips its categories. The trending payloads, which
+    are the many, are not joined for it; their failed regions are.
     """
-    categories = F.col("kind") == CATEGORIES
-    failed = payloads.where((F.col("kind") == TRENDING) & F.col("problem").isNotNull())
-    regions = failed.select("region").distinct()
-    reached = payloads.where(categories).join(broadcast_if_small(regions), "region", "left_anti")
-    return payloads.where(~categories).unionByName(reached)
+    trending = payloads.where(F.col("kind") == TRENDING)
+    failed = trending.where(F.col("problem").isNotNull()).select("region").distinct()
+    categories = payloads.where(F.col("kind") == CATEGORIES)
+    return trending, categories.join(broadcast_if_small(failed), "region", "left_anti")
 
 
 def stamped_documents(payloads: DataFrame, source: str, as_of: datetime | None) -> DataFrame:
@@ -81,7 +81,6 @@ def stamped_documents(payloads: DataFrame, source: str, as_of: datetime | None)
     body = F.rtrim(F.regexp_replace("document", r"\}\s*$", ""))
     comma = F.when(body.endswith("{"), F.lit("")).otherwise(F.lit(","))
     return payloads.where(F.col("problem").isNull()).select(
-        "kind",
         "region",
         utc_text(now, DATE_FORMAT).alias("date"),
         utc_text(now, HOUR_FORMAT).alias("hour"),

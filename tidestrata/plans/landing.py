@@ -5,16 +5,8 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tidestrata.operators.landing import (
-    CATEGORIES,
-    TRENDING,
-    assessed,
-    attempted,
-    manifest,
-    stamped_documents,
-)
+
+from tidestrata.operators.landing import assessed, by_kind, manifest, stamped_documents
 from tidestrata.sinks.tables import PER_PARTITION, spread
 
 # The raw folders.
@@ -31,18 +23,16 @@ def land_raw(
     of the same region and day. One document per line lets Spark pack many into a file and split
     it when reading; read them back with ``layout="lines"``.
     """
-    payloads = attempted(assessed(payloads))
-    documents = stamped_documents(payloads, source, as_of)
+    trending, categories = by_kind(assessed(payloads))
 
-    trending = documents.where(F.col("kind") == TRENDING).drop("kind")
     folders = ["region", "date", "hour"]
-    spread(trending, folders).write.mode("append").partitionBy(*folders).text(
-        f"{path}/{TRENDING_FOLDER}"
-    )
+    spread(stamped_documents(trending, source, as_of), folders).write.mode("append").partitionBy(
+        *folders
+    ).text(f"{path}/{TRENDING_FOLDER}")
 
-    categories = documents.where(F.col("kind") == CATEGORIES).drop("kind", "hour")
     folders = ["region", "date"]
-    spread(categories, folders).write.mode("overwrite").options(**PER_PARTITION).partitionBy(
+    stamped = stamped_documents(categories, source, as_of).drop("hour")
+    spread(stamped, folders).write.mode("overwrite").options(**PER_PARTITION).partitionBy(
         *folders
     ).text(f"{path}/{CATEGORIES_FOLDER}")
-    return manifest(payloads, as_of)
+    return manifest(trending.unionByName(categories.select(trending.columns)), as_of)

@@ -6,8 +6,9 @@ to read only files that a checkpoint has not seen yet.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,11 +22,26 @@ LAYOUTS = ("documents", "lines")
 JSON_FILES = "*.{json,txt}"
 
 
+# CSV uploads lie beside the hour folders of landed documents, so each reader names its own level.
+CSV_FOLDERS = "region=*/*.csv"
+API_FOLDERS = "region=*/date=*/hour=*"
+
+
 def reader(spark: SparkSession, schema: StructType, stream: bool, **options):
     source = spark.readStream if stream else spark.read
     return source.schema(schema).options(**options)
 
 
+def or_empty(spark: SparkSession, schema: StructType, read: Callable[[], DataFrame]) -> DataFrame:
+    """What ``read`` finds; no rows where no file has arrived yet."""
+    try:
+        return read()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def document_options(layout: str) -> dict[str, object]:
     if layout not in LAYOUTS:
         raise ValueError(f"layout is one of {LAYOUTS}, not {layout!r}")
@@ -42,21 +58,16 @@ def keep_regions(frame: DataFrame, regions: Iterable[str] | None) -> DataFrame:
 
 
 def csv_statistics(
-    spark: SparkSession, path: str, *, stream: bool = False, **options
+    spark: SparkSession, path: str, *, files: str = CSV_FOLDERS, stream: bool = False, **options
 ) -> DataFrame:
     """CSV rows under ``region=xx/`` as text columns.
 
     Descriptions hold line breaks inside quotes, so a file is parsed as a whole and files are
     the unit of parallelism.
     """
-    settings = {
-        "header": True,
-        "multiLine": True,
-        "quote": '"',
-        "escape": '"',
-        "pathGlobFilter": "*.csv",
-    }
-    return reader(spark, CSV_SCHEMA, stream, **(settings | options)).csv(path)
+    settings = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "basePath": path}
+    source = reader(spark, CSV_SCHEMA, stream, **(settings | options))
+    return or_empty(spark, CSV_SCHEMA, lambda: source.csv(f"{path}/{files}"))
 
 
 def api_items(documents: DataFrame, *context: str | Column) -> DataFrame:
@@ -67,9 +78,16 @@ def api_items(documents: DataFrame, *context: str | Column) -> DataFrame:
 
 
 def api_statistics(
-    spark: SparkSession, path: str, *, layout: str = "documents", stream: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    *,
+    layout: str = "documents",
+    folders: str = API_FOLDERS,
+    stream: bool = False,
+    **options,
 ) -> DataFrame:
     """Video items of API documents under ``region=/date=/hour=``, flattened."""
-    settings = {"pathGlobFilter": JSON_FILES} | document_options(layout)
-    documents = reader(spark, API_DOCUMENT, stream, **(settings | options)).json(path)
+    settings = {"pathGlobFilter": JSON_FILES, "basePath": path} | document_options(layout)
+    source = reader(spark, API_DOCUMENT, stream, **(settings | options))
+    documents = or_empty(spark, API_DOCUMENT, lambda: source.json(f"{path}/{folders}"))
     return api_items(documents, "region")

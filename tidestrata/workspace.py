@@ -14,10 +14,10 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where nothing is set, as in local tests, a fresh temporary folder stands in.
     """
-    folder = spark.conf.get(SETTING, None)
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="tidestrata-")
-        spark.conf.set(SETTING, folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
@@ -25,4 +25,4 @@ def prepare_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping a folder that is set already."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+        context.setCheckpointDir(shared_folder(spark))
