@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from tidestrata.functions import instant, iso_text, plain_region, utc_text
 from tidestrata.operators.bounds import broadcast_if_small
-from tidestrata.operators.columns import missing
-from tidestrata.schemas import CATEGORY_REQUIRED
 
 TRENDING, CATEGORIES = "trending", "categories"
 
@@ -108,8 +106,3 @@ def manifest(payloads: DataFrame, as_of: datetime | None) -> DataFrame:
             "error",
         )
     )
-
-
-def missing_category_columns(columns: list[str]) -> list[str]:
-    """Expected category columns that are not there; a warning, not a failure."""
-    return missing(columns, CATEGORY_REQUIRED)

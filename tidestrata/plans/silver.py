@@ -13,7 +13,6 @@ from tidestrata.operators.categories import document_report, reference_records
 from tidestrata.operators.cleanse import cleansed, stamped
 from tidestrata.operators.conform import statistics_record
 from tidestrata.operators.counts import clean_measures, observed, raw_measures
-from tidestrata.operators.landing import missing_category_columns
 from tidestrata.operators.latest import latest_records
 from tidestrata.sinks import append, merge_latest, overwrite_partitions
 from tidestrata.sources import (
@@ -86,9 +85,6 @@ def load_categories(documents: DataFrame, cfg: PipelineConfig) -> DataFrame:
     A region's partition is replaced as a whole, so a file that arrives again changes nothing.
     """
     rows = reference_records(documents, cfg.as_of)
-    absent = missing_category_columns(rows.columns)
-    if absent:
-        log.warning("category files give no %s", absent)
     if has_rows(rows):
         overwrite_partitions(rows, cfg.reference, ["region"])
     return document_report(documents)
