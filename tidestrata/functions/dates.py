@@ -16,9 +16,13 @@ TREND_SHAPE = r"^\d{2}\.\d{2}\.\d{2}$"
 
 
 def day_of_trend(value: Column) -> Column:
-    """The date of a ``yy.dd.MM`` or ISO text, null when it is neither."""
-    short = F.when(value.rlike(TREND_SHAPE), value)
-    return F.coalesce(F.try_to_date(short, TREND_FORMAT), value.try_cast("date"))
+    """The date of a ``yy.dd.MM`` or ISO text, null when it is neither.
+
+    The short form is put in ISO order and cast, which is far cheaper per row than a pattern.
+    """
+    year, day, month = (F.substring(value, start, 2) for start in (1, 4, 7))
+    reordered = F.concat(F.lit("20"), year, F.lit("-"), month, F.lit("-"), day)
+    return F.when(value.rlike(TREND_SHAPE), reordered).otherwise(value).try_cast("date")
 
 
 def instant(as_of: datetime | None) -> Column:

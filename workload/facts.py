@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestrata.workspace import shared_folder
@@ -43,6 +43,12 @@ def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def short_form(day: Column) -> Column:
+    """A date as ``yy.dd.MM`` text."""
+    iso = day.cast("string")
+    return F.concat_ws(".", *[F.substring(iso, start, 2) for start in (3, 9, 6)])
+
+
 def appearances(spark: SparkSession, folder: str) -> DataFrame:
     """Raw statistics records in the layout of a CSV row, typed as the tables have them."""
     region = source(spark, folder, "region").select("r_regionkey", "r_name")
@@ -67,11 +73,11 @@ def appearances(spark: SparkSession, folder: str) -> DataFrame:
     no_likes = (F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 1)
     return lines.select(
         F.concat(F.lit("v"), F.col("l_partkey").cast("string")).alias("video_id"),
-        F.date_format(month, "yy.dd.MM").alias("trending_date"),
+        short_form(month).alias("trending_date"),
         F.col("p_name").alias("title"),
         F.col("s_name").alias("channel_title"),
         F.col("p_size").cast("bigint").alias("category_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("publish_time"),
+        F.col("o_orderdate").cast("string").alias("publish_time"),
         F.lit(None).cast("string").alias("tags"),
         F.when(no_views, F.lit(0))
         .otherwise(F.floor("l_extendedprice"))
