@@ -26,6 +26,21 @@ CHECKS = ("row_count", "null_pct", "schema", "value_range", "freshness")
 # Columns that tell when a record was made, the preferred one first.
 TIME_COLUMNS = ("_processed_at", "_ingestion_timestamp")
 
+# The texts of results.
+ROW_COUNT_TEXT = "Row count: %d (min: %s)"
+NULL_PCT_TEXT = "%s null%%: %.2f%% (max: %s%%)"
+NOT_CONFIGURED_TEXT = (
+    "No critical columns configured for table '%s' — cannot validate. Add it to CRITICAL_COLUMNS."
+)
+COLUMN_MISSING_TEXT = "Column '%s' missing from table"
+NOTHING_EXPECTED_TEXT = "No expected columns configured for '%s'"
+MISSING_TEXT = "Missing columns: %s"
+COMPLETE_TEXT = "All expected columns present"
+VALUE_RANGE_TEXT = "Views: %d negative, %d extreme (>%s)"
+NO_TIME_TEXT = "No timestamp column found — skipping freshness check (backfill data)"
+NOT_PARSED_TEXT = "Timestamp column '%s' had no parseable values — skipping"
+FRESHNESS_TEXT = "Latest: %s, Cutoff: %s"
+
 
 @dataclass
 class Check:
@@ -48,7 +63,7 @@ ROWS = "rows"
 
 def row_count(frame: DataFrame, name: str, rules: QualityRules, now: Column) -> Check:
     rows = F.col(ROWS)
-    shown = F.format_string(f"Row count: %d (min: {rules.min_rows})", rows)
+    shown = F.format_string(ROW_COUNT_TEXT, rows, F.lit(str(rules.min_rows)))
     return Check(
         results=[
             result(
@@ -68,18 +83,15 @@ def null_pct(frame: DataFrame, name: str, rules: QualityRules, now: Column) -> C
     check = Check()
     expected = rules.critical_columns.get(name, ())
     if not expected:
-        gap = (
-            f"No critical columns configured for table '{name}' — "
-            "cannot validate. Add it to CRITICAL_COLUMNS."
-        )
-        check.results.append(result("null_pct", name, passed=F.lit(False), message=F.lit(gap)))
+        gap = F.lit(NOT_CONFIGURED_TEXT % name)
+        check.results.append(result("null_pct", name, passed=F.lit(False), message=gap))
     kinds = dict(frame.dtypes)
     for place, column in enumerate(expected):
         known = {"column": F.lit(column)}
         if column not in kinds:
-            gap = f"Column '{column}' missing from table"
+            gap = F.lit(COLUMN_MISSING_TEXT % column)
             check.results.append(
-                result("null_pct", name, passed=F.lit(False), message=F.lit(gap), **known)
+                result("null_pct", name, passed=F.lit(False), message=gap, **known)
             )
             continue
         empty = quoted(column).isNull()
@@ -88,7 +100,7 @@ def null_pct(frame: DataFrame, name: str, rules: QualityRules, now: Column) -> C
         key = f"nulls_{place}"
         check.measures[key] = F.count_if(empty)
         percent = F.coalesce(F.try_divide(F.col(key), F.col(ROWS)) * 100, F.lit(100.0))
-        shown = f"%s null%%: %.2f%% (max: {rules.max_null_pct}%%)"
+        limit = F.lit(str(rules.max_null_pct))
         check.results.append(
             result(
                 "null_pct",
@@ -96,7 +108,9 @@ def null_pct(frame: DataFrame, name: str, rules: QualityRules, now: Column) -> C
                 value=F.bround(percent, 2),
                 threshold=F.lit(rules.max_null_pct),
                 passed=percent <= rules.max_null_pct,
-                message=F.format_string(shown, F.lit(column), F.bround(percent, 2)),
+                message=F.format_string(
+                    NULL_PCT_TEXT, F.lit(column), F.bround(percent, 2), limit
+                ),
                 **known,
             )
         )
@@ -107,11 +121,11 @@ def schema(frame: DataFrame, name: str, rules: QualityRules, now: Column) -> Che
     expected = rules.critical_columns.get(name, ())
     absent = missing(frame.columns, expected)
     if not expected:
-        message = f"No expected columns configured for '{name}'"
+        message = NOTHING_EXPECTED_TEXT % name
     elif absent:
-        message = f"Missing columns: {absent}"
+        message = MISSING_TEXT % absent
     else:
-        message = "All expected columns present"
+        message = COMPLETE_TEXT
     return Check(
         results=[
             result(
@@ -132,7 +146,7 @@ def value_range(frame: DataFrame, name: str, rules: QualityRules, now: Column) -
     if dict(frame.dtypes)["views"] not in ("bigint", "int"):
         views = number(views)
     below, above = F.col("below_range"), F.col("above_range")
-    shown = f"Views: %d negative, %d extreme (>{rules.max_views:,})"
+    ceiling = F.lit(f"{rules.max_views:,}")
     return Check(
         measures={
             "below_range": F.count_if(views < 0),
@@ -146,7 +160,7 @@ def value_range(frame: DataFrame, name: str, rules: QualityRules, now: Column) -
                 negative_count=below,
                 extreme_count=above,
                 passed=(below == 0) & (above == 0),
-                message=F.format_string(shown, below, above),
+                message=F.format_string(VALUE_RANGE_TEXT, below, above, ceiling),
             )
         ],
     )
@@ -156,15 +170,13 @@ def freshness(frame: DataFrame, name: str, rules: QualityRules, now: Column) ->
     """The newest record against now minus the allowed hours; a table that cannot tell passes."""
     column = first_present(frame.columns, TIME_COLUMNS)
     if column is None:
-        note = "No timestamp column found — skipping freshness check (backfill data)"
-        return Check(
-            results=[result("freshness", name, passed=F.lit(True), message=F.lit(note))]
-        )
+        note = F.lit(NO_TIME_TEXT)
+        return Check(results=[result("freshness", name, passed=F.lit(True), message=note)])
     newest = F.col("newest")
     cutoff = now - F.make_interval(hours=F.lit(rules.freshness_hours))
     known = newest.isNotNull()
     newest_text, cutoff_text = iso_text(newest, " "), iso_text(cutoff, " ")
-    note = f"Timestamp column '{column}' had no parseable values — skipping"
+    note = F.lit(NOT_PARSED_TEXT % column)
     return Check(
         measures={"newest": F.max(instant_value(quoted(column)))},
         results=[
@@ -175,8 +187,8 @@ def freshness(frame: DataFrame, name: str, rules: QualityRules, now: Column) ->
                 cutoff=F.when(known, cutoff_text),
                 passed=F.coalesce(newest >= cutoff, F.lit(True)),
                 message=F.when(
-                    known, F.format_string("Latest: %s, Cutoff: %s", newest_text, cutoff_text)
-                ).otherwise(F.lit(note)),
+                    known, F.format_string(FRESHNESS_TEXT, newest_text, cutoff_text)
+                ).otherwise(note),
             )
         ],
     )

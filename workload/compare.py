@@ -20,6 +20,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 TESTDATA = "/root/testdata"
+DUCKDB_NAMES = {"string": "varchar", "int": "integer"}
 
 
 def session(cores: int = 8) -> SparkSession:
@@ -45,8 +46,9 @@ def oracle_rows(folder: str, sql: str):
         path = f"{folder}/{name}.parquet"
         if os.path.exists(path):
             db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    kinds = {row[0]: row[1].lower() for row in db.execute(f"DESCRIBE {sql}").fetchall()}
     cursor = db.execute(sql)
-    return [c[0] for c in cursor.description], cursor.fetchall()
+    return [c[0] for c in cursor.description], kinds, cursor.fetchall()
 
 
 def ordered(columns: list[str], rows) -> Counter:
@@ -58,9 +60,12 @@ def differences(spark: SparkSession, name: str, folder: str) -> str | None:
     """None when both engines give the same columns and rows."""
     frame = QUERIES[name](spark, folder)
     ours = [tuple(row) for row in frame.collect()]
-    columns, theirs = oracle_rows(folder, ORACLES[name])
+    columns, kinds, theirs = oracle_rows(folder, ORACLES[name])
     if sorted(frame.columns) != sorted(columns):
         return f"columns {sorted(frame.columns)} <> {sorted(columns)}"
+    named = {c: DUCKDB_NAMES.get(kind, kind) for c, kind in frame.dtypes}
+    if named != kinds:
+        return f"types {sorted(set(named.items()) ^ set(kinds.items()))}"
     if len(ours) != len(theirs):
         return f"rows {len(ours)} <> {len(theirs)}"
     mine, other = ordered(frame.columns, ours), ordered(columns, theirs)
