@@ -1,4 +1,5 @@
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from tidestrata.operators.conform import from_csv
 from tidestrata.plans import clean_statistics
 from tidestrata.sinks import append, merge, merge_latest, overwrite_partitions
 from tidestrata.sources import optional_table, table
+from tidestrata.workspace import shared_folder
 
 BY_DAY = ("region", "trending_date_parsed")
 
@@ -113,6 +115,13 @@ def test_merge(spark, raw, name, partition_by, named, monkeypatch):
         )
 
 
+def test_staged_rows_are_removed(spark, raw, name):
+    staged = Path(shared_folder(spark).removeprefix("file:")) / "merge" / name.replace(".", "/")
+    for hours in (0, 6):
+        merge_latest(cleaned(raw, {}, hours=hours), name, BY_DAY)
+    assert staged.is_dir() and list(staged.iterdir()) == []
+
+
 def test_an_older_run_does_not_win(spark, raw, name):
     merge_latest(cleaned(raw, {"likes": "1"}, hours=6), name, BY_DAY)
     merge_latest(cleaned(raw, {"likes": "9"}), name, BY_DAY)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
@@ -23,10 +24,17 @@ NAMED_PARTITIONS = 10_000
 
 def stored(frame: DataFrame, path: str) -> DataFrame:
     """``frame`` written to ``path`` and read back: later steps do not compute it again."""
-    frame.write.mode("overwrite").parquet(path)
+    frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a staging folder once its rows are in the table."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def equals(column: str, values: Sequence[object]) -> Column:
     known = [v for v in values if v is not None]
     tests = [F.col(column).isin(known)] if known else []
@@ -67,8 +75,10 @@ def merge_latest(
     """Put ``records``, one per key, into the table; per key the newest record stays.
 
     Only partitions that get new rows are read and rewritten. The merged rows are complete in the
-    shared folder before a partition is replaced, so a lost job can be run again, and running it
-    again gives the same table. ``partition_by`` must be part of the key.
+    shared folder before the first partition is replaced: a job that ends before that leaves the
+    table as it was, and one whose driver ends during it leaves the staged rows there to load with
+    ``overwrite_partitions``. Running a merge again gives the same table. ``partition_by`` must be
+    part of the key.
     """
     if not set(partition_by) <= set(key):
         raise ValueError(f"partition columns {partition_by} have to be part of the key {key}")
@@ -76,10 +86,12 @@ def merge_latest(
     if not exists(spark, name):
         append(records, name, partition_by)
         return
-    folder = f"{shared_folder(spark)}/merge/{name.replace('.', '/')}"
+    # A folder of its own, so that runs for tables of the same name cannot meet in it.
+    folder = f"{shared_folder(spark)}/merge/{name.replace('.', '/')}/{uuid.uuid4().hex}"
     incoming = stored(evolve(records, name), f"{folder}/incoming")
     touched = incoming.select(*partition_by).distinct()
     current = only_partitions(table(spark, name), touched, partition_by)
     merged = latest_records(current.unionByName(incoming), key)
     ready = stored(spread(merged, partition_by), f"{folder}/merged")
     overwrite_partitions(ready, name, partition_by, spread_rows=False)
+    discard(spark, folder)
