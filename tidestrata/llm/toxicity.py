@@ -12,6 +12,7 @@ Fitting uses at most ``SAMPLE`` labelled rows, on the driver; scoring covers eve
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The most labelled rows that are learnt from, chosen by a hash of their ids.
-SAMPLE = 8000
+SAMPLE = 4000
 #: Of these, documents for each toxic one that the field itself is fitted to.
 CLEAN_EACH = 2
 #: Lengths of word beginnings that are features besides the word.
@@ -174,14 +175,18 @@ def fit(sample: list[tuple[str, int]]) -> Field:
     toxic = [x for x in sample if x[1] == 1]
     clean = [x for x in sample if x[1] == 0][: CLEAN_EACH * len(toxic)]
     known: dict[str, int] = {}
-    numbers, labels, first = [], [], []
+    marked: list[bool] = []
+    numbers, labels, first = array("i"), array("b"), array("b")
     for text, label in toxic + clean:
         for i, word in enumerate(w.lower() for w in WORD.findall(text)):
-            numbers.append(known.setdefault(word, len(known)))
-            labels.append(label == 1 and any(f in lexicon for f in features_of(word)))
+            number = known.setdefault(word, len(known))
+            if number == len(marked):
+                marked.append(any(f in lexicon for f in features_of(word)))
+            numbers.append(number)
+            labels.append(label == 1 and marked[number])
             first.append(i == 0)
     if any(labels):
-        _fit_chain(field, list(known), np.array(numbers), np.array(labels, float), np.array(first))
+        _fit_chain(field, list(known), *map(np.array, (numbers, labels)), np.array(first, bool))
     _fit_document(field, sample)
     return field
 
@@ -193,6 +198,7 @@ def _fit_chain(field: Field, words: list[str], numbers, labels, first) -> None:
     for row, word in enumerate(words):
         for place, feature in enumerate(features_of(word)):
             table[row, place] = features.setdefault(feature, len(features) + 1)
+    labels = labels.astype(float)
     inner = ~first[1:]
     pairs = np.stack([labels[:-1], labels[1:]])[:, inner]
     moved = np.array([((1 - pairs[0]) * pairs[1]).sum(), (pairs[0] * (1 - pairs[1])).sum(), (pairs[0] * pairs[1]).sum()])
