@@ -1,0 +1,12 @@
+import pytest
+
+
+@pytest.fixture
+def documents(spark):
+    """A frame of (doc_id, text) rows with columns that clash with names used inside."""
+
+    def make(rows, **more):
+        full = [(i, t, "x", 7) for i, t in rows]
+        return spark.createDataFrame(full, "doc_id bigint, text string, _key string, first int")
+
+    return make

@@ -153,11 +153,10 @@ def tile_links(left: np.ndarray, right: np.ndarray, same: bool, radius: int) ->
     kept = []
     for start in range(0, len(left), 256):
         part = left[start : start + 256]
-        if same:
-            other = right[start:]
-        else:
-            other = right
-        close = np.bitwise_count(part[:, None] ^ other[None, :]) <= radius
+        other = right[start:] if same else right
+        # Bits of a signed number would be counted in its absolute value.
+        differing = (part[:, None] ^ other[None, :]).view(np.uint64)
+        close = np.bitwise_count(differing) <= radius
         for i, j in zip(*np.nonzero(close)):
             x, y = int(part[i]), int(other[j])
             if x != y and (a := root(x)) != (b := root(y)):
