@@ -25,6 +25,8 @@ END = 0
 OPEN = 1024
 #: Pieces a task packs. A task's last sequences may stay part empty, so tasks are not too small.
 TASK_PIECES = 200_000
+#: Pieces that a task looks at together; the longest of them are placed first.
+RUN = 4000
 #: Sequence numbers of one task.
 TASK_NUMBERS = 33
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -123,7 +125,8 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN, t
     """``pieces`` with ``sequence_id`` and ``offset``, its place there.
 
     Pieces are stored, counted and dealt to tasks by a hash, which also fixes the order in which a
-    task meets them; a repeated task therefore packs alike. Offsets leave no gaps from 0 on.
+    task meets them; a repeated task therefore packs alike. Of each ``RUN`` pieces that arrive the
+    longest are placed first, so that short ones fill what they leave. Offsets leave no gaps from 0 on.
     Repeated rows are packed one by one. No pieces give no rows.
     """
     pieces = stored(pieces, "pieces")
@@ -134,12 +137,16 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN, t
         bins = OpenBins(capacity, open_bins)
         first = TaskContext.get().partitionId() << TASK_NUMBERS
         for batch in batches:
-            places = [bins.place(length) for length in batch.column("length").to_pylist()]
-            numbers, offsets = zip(*places) if places else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([first + n for n in numbers], pa.int64()), pa.array(offsets, pa.int64())],
-                [*batch.schema.names, "sequence_id", "offset"],
-            )
+            for start in range(0, batch.num_rows, RUN):
+                run = batch.slice(start, RUN)
+                lengths = run.column("length").to_numpy()
+                numbers, offsets = np.empty((2, len(lengths)), np.int64)
+                for i in np.argsort(-lengths, kind="stable"):
+                    numbers[i], offsets[i] = bins.place(int(lengths[i]))
+                yield pa.RecordBatch.from_arrays(
+                    [*run.columns, pa.array(numbers + first), pa.array(offsets)],
+                    [*run.schema.names, "sequence_id", "offset"],
+                )
 
     dealt = pieces.repartition(tasks, order).sortWithinPartitions(order, "doc_id", "piece", "length", "ids_crc32")
     return dealt.mapInArrow(pack, PLACED)
