@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidestrata.llm.common import ascii_lower, unused
+from tidestrata.llm.common import ascii_lower, stored, unused
 from tidestrata.operators.bounds import broadcast_if_small
 
 #: A line on this many sites or more is boilerplate.
@@ -54,7 +54,7 @@ def shared_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
         F.count(F.lit(1)).alias("rows"),
     )
     # A line with fewer rows than sites asked for cannot be on so many.
-    spread = spread.where((F.col("rows") >= min_sites) & (F.col("sites") >= low))
+    spread = stored(spread.where((F.col("rows") >= min_sites) & (F.col("sites") >= low)), "spread")
     sure = spread.where(F.col("sites") > high).select("key")
     near = spread.where(F.col("sites") <= high).select("key")
     counted = (
@@ -66,7 +66,7 @@ def shared_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
         .agg(F.count(F.lit(1)).alias("sites"))
         .where(F.col("sites") >= min_sites)
     )
-    return sure.unionByName(counted.select("key"))
+    return stored(sure.unionByName(counted.select("key")), "shared-lines")
 
 
 def without_shared_lines(
