@@ -93,9 +93,7 @@ def likes(spark, name):
 
 
 @pytest.mark.parametrize("partition_by", [BY_DAY, ("region",)])
-@pytest.mark.parametrize("named", [10_000, 0])
-def test_merge(spark, raw, name, partition_by, named, monkeypatch):
-    monkeypatch.setattr(merge, "NAMED_PARTITIONS", named)
+def test_merge(spark, raw, name, partition_by):
     old = [{"likes": "1"}, {"video_id": "v2", "likes": "2"}, {"trending_date": "junk", "likes": "3"},
            {"region": "ca", "likes": "4"}, {"trending_date": "17.15.11", "likes": "5"}]
     merge_latest(cleaned(raw, *old), name, partition_by)
@@ -115,6 +113,18 @@ def test_merge(spark, raw, name, partition_by, named, monkeypatch):
         )
 
 
+def test_a_merge_reads_a_range_of_partitions(spark, raw, name, capfd):
+    days = [{"trending_date": f"17.{d}.11"} for d in (13, 14, 15, 16)] + [{"trending_date": "junk"}]
+    merge_latest(cleaned(raw, *days), name, BY_DAY)
+    touched = cleaned(raw, days[1], days[3], days[4]).select(*BY_DAY).distinct()
+    found = merge.only_partitions(table(spark, name), touched, BY_DAY)
+    assert sorted(str(r.trending_date_parsed) for r in found.collect()) == ["2017-11-14", "2017-11-16", "None"]
+    found.explain()
+    filters = next(x for x in capfd.readouterr().out.split("PartitionFilters: ")[1:]).split("]")[0]
+    assert "2017-11-14" in filters and "2017-11-16" in filters and "us" in filters
+    assert merge.only_partitions(table(spark, name), touched.limit(0), BY_DAY).count() == 0
+
+
 def test_staged_rows_are_removed(spark, raw, name):
     staged = Path(shared_folder(spark).removeprefix("file:")) / "merge" / name.replace(".", "/")
     for hours in (0, 6):

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType
 
 
 def text(value: Column) -> Column:
     return value.cast("string")
 
 
-def whole_number(value: Column) -> Column:
+def whole_number(value: Column, found: DataType | None = None) -> Column:
     """A bigint; a fraction is cut off (``'12.7'`` -> 12), anything else bad is null.
 
-    The second branch only runs for values the plain cast rejects. It drops the fraction as
-    text, so numbers above 2^53 stay exact.
+    ``found`` is the type of ``value``. Numbers are cast as they are: as text, a double of ten
+    million would be ``1.0E7``. Of text, the second branch only runs for values the plain cast
+    rejects. It drops the fraction as text, so numbers above 2^53 stay exact.
     """
+    if isinstance(found, NumericType):
+        return value.try_cast("bigint")
     as_text = value.cast("string")
     return F.coalesce(
         as_text.try_cast("bigint"),

@@ -15,7 +15,7 @@ from tidestrata.schemas import API_DEFAULTS, API_FIELDS, STATISTICS_TYPES
 
 def typed(value: Column, found: DataType, wanted: DataType) -> Column:
     if isinstance(wanted, LongType):
-        return whole_number(value)
+        return whole_number(value, found)
     if isinstance(wanted, BooleanType):
         return flag(value)
     if isinstance(found, ArrayType):

@@ -32,18 +32,28 @@ def on_one_line(payload: Column) -> Column:
     return F.trim(F.regexp_replace(payload, r"[\r\n]+\s*", ""))
 
 
+def is_object(payload: Column) -> Column:
+    """Whether a text is one JSON object and nothing else.
+
+    The text as it came is parsed as the only element of an array: broken or trailing text breaks
+    the array, and a second document is a second element. Repeated fields are allowed, as readers
+    allow them, and no length is too long.
+    """
+    parsed = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), "array<struct<items string>>")
+    return F.coalesce((F.size(parsed) == 1) & F.get(parsed, F.lit(0)).isNotNull(), F.lit(False))
+
+
 def assessed(payloads: DataFrame) -> DataFrame:
     """Payloads with plain region, document on one line, its item count, and any problem."""
     if "error" not in payloads.columns:
         payloads = payloads.withColumn("error", F.lit(None).cast("string"))
     document = on_one_line(F.col("payload"))
-    is_object = F.try_parse_json(document).isNotNull() & document.startswith("{")
     return payloads.select(
         plain_region(F.col("region")).alias("region"),
         "kind",
         document.alias("document"),
         item_count(document).cast("bigint").alias("item_count"),
-        F.coalesce("error", F.when(~F.coalesce(is_object, F.lit(False)), F.lit(NOT_JSON))).alias(
+        F.coalesce("error", F.when(~is_object(F.col("payload")), F.lit(NOT_JSON))).alias(
             "problem"
         ),
     )

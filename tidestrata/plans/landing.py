@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
 from tidestrata.operators.landing import assessed, by_kind, manifest, stamped_documents
+from tidestrata.sinks.merge import discard, stored
 from tidestrata.sinks.tables import PER_PARTITION, spread
+from tidestrata.workspace import shared_folder
 
 # The raw folders.
 TRENDING_FOLDER = "raw_statistics"
@@ -22,8 +25,14 @@ def land_raw(
     Trending documents are added under ``region=/date=/hour=``; category documents replace those
     of the same region and day. One document per line lets Spark pack many into a file and split
     it when reading; read them back with ``layout="lines"``.
+
+    The payloads are read and judged once, into the shared folder; what follows reads columns of
+    that. Folders, stamps and manifest all have the instant at which the run began.
     """
-    trending, categories = by_kind(assessed(payloads))
+    as_of = as_of or datetime.now(timezone.utc)
+    spark = payloads.sparkSession
+    folder = f"{shared_folder(spark)}/landing/{uuid.uuid4().hex}"
+    trending, categories = by_kind(stored(assessed(payloads), f"{folder}/assessed"))
 
     folders = ["region", "date", "hour"]
     spread(stamped_documents(trending, source, as_of), folders).write.mode("append").partitionBy(
@@ -35,4 +44,7 @@ def land_raw(
     spread(stamped, folders).write.mode("overwrite").options(**PER_PARTITION).partitionBy(
         *folders
     ).text(f"{path}/{CATEGORIES_FOLDER}")
-    return manifest(trending.unionByName(categories.select(trending.columns)), as_of)
+    result = manifest(trending.unionByName(categories.select(trending.columns)), as_of)
+    result = stored(result.coalesce(1), f"{folder}/manifest")
+    discard(spark, f"{folder}/assessed")
+    return result

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestrata.operators.latest import latest_records
@@ -17,11 +16,6 @@ from tidestrata.sinks.tables import append, evolve, exists, overwrite_partitions
 from tidestrata.sources.tables import table
 from tidestrata.workspace import shared_folder
 
-# Up to this many touched partitions are named in the scan's partition filter. Beyond it the
-# old rows are chosen by a join instead, so the driver never holds more than this.
-NAMED_PARTITIONS = 10_000
-
-
 def stored(frame: DataFrame, path: str) -> DataFrame:
     """``frame`` written to ``path`` and read back: later steps do not compute it again."""
     frame.write.parquet(path)
@@ -35,35 +29,30 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def equals(column: str, values: Sequence[object]) -> Column:
-    known = [v for v in values if v is not None]
-    tests = [F.col(column).isin(known)] if known else []
-    if len(known) < len(values):
-        tests.append(F.col(column).isNull())
-    return reduce(or_, tests)
-
-
 def only_partitions(frame: DataFrame, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of ``frame`` in the partitions listed in ``touched``."""
-    listed = touched.limit(NAMED_PARTITIONS + 1).collect()
-    if not listed:
+    """The rows of ``frame`` in the partitions listed in ``touched``.
+
+    The last of ``columns`` may have any number of values. For each combination of the others, such
+    as a region, their range goes into the scan as a partition filter, and a join on all columns
+    then picks the partitions exactly. The driver holds one row per combination.
+    """
+    *outer, inner = columns
+    known = touched.groupBy(*outer).agg(
+        F.min(inner).alias("_first"),
+        F.max(inner).alias("_last"),
+        F.max(F.col(inner).isNull()).alias("_null"),
+    )
+    branches = []
+    for row in known.collect():
+        within = F.col(inner).between(F.lit(row["_first"]), F.lit(row["_last"]))
+        if row["_null"]:
+            within = F.col(inner).isNull() if row["_first"] is None else within | F.col(inner).isNull()
+        branches.append(reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in outer], within))
+    if not branches:
         return frame.limit(0)
-    if len(listed) > NAMED_PARTITIONS:
-        other = touched.select(*[F.col(c).alias(f"_{c}") for c in columns])
-        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
-        return frame.join(other, same, "left_semi")
-    inner: dict[tuple, list] = defaultdict(list)
-    for row in listed:
-        inner[tuple(row)[:-1]].append(row[columns[-1]])
-    branches = [
-        reduce(
-            and_,
-            [equals(c, [v]) for c, v in zip(columns, outer)],
-            equals(columns[-1], values),
-        )
-        for outer, values in inner.items()
-    ]
-    return frame.where(reduce(or_, branches))
+    other = touched.select(*[F.col(c).alias(f"_{c}") for c in columns])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return frame.where(reduce(or_, branches)).join(other, same, "left_semi")
 
 
 def merge_latest(

@@ -6,24 +6,28 @@ to read only files that a checkpoint has not seen yet.
 
 from __future__ import annotations
 
+import csv
+import re
+from collections import defaultdict
 from collections.abc import Callable, Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidestrata.operators.columns import flatten
+from tidestrata.operators.columns import flatten, quoted
 from tidestrata.schemas import API_DOCUMENT, CSV_SCHEMA
 
 LAYOUTS = ("documents", "lines")
 
 # Uploaded documents end in .json; Spark's text sink, which lands payloads, writes .txt.
-JSON_FILES = "*.{json,txt}"
-
+JSON_FILES = "*.{json,txt,JSON,json.gz,txt.gz,json.bz2,txt.bz2}"
 
 # CSV uploads lie beside the hour folders of landed documents, so each reader names its own level.
-CSV_FOLDERS = "region=*/*.csv"
+CSV_FOLDERS = "region=*/*.{csv,CSV,csv.gz,csv.bz2}"
 API_FOLDERS = "region=*/date=*/hour=*"
 
 
@@ -32,13 +36,17 @@ def reader(spark: SparkSession, schema: StructType, stream: bool, **options):
     return source.schema(schema).options(**options)
 
 
-def or_empty(spark: SparkSession, schema: StructType, read: Callable[[], DataFrame]) -> DataFrame:
-    """What ``read`` finds; no rows where no file has arrived yet."""
+def or_empty(
+    spark: SparkSession, schema: StructType, root: str, read: Callable[[], DataFrame]
+) -> DataFrame:
+    """What ``read`` finds; no rows where no file has arrived yet. A missing ``root`` is an error."""
     try:
         return read()
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
+        # Listing the root raises if it is not there, and reads nothing.
+        spark.read.format("binaryFile").load(root).schema
         return spark.createDataFrame([], schema)
 
 
@@ -62,12 +70,61 @@ def csv_statistics(
 ) -> DataFrame:
     """CSV rows under ``region=xx/`` as text columns.
 
-    Descriptions hold line breaks inside quotes, so a file is parsed as a whole and files are
-    the unit of parallelism.
+    Columns go by the header of each file, in whatever order; one that a file lacks is null, further
+    ones are left out. A stream takes files one by one and cannot sort them by header, so there
+    another header than the declared one is an error. Descriptions hold line breaks inside quotes,
+    so a file is parsed as a whole and files are the unit of parallelism.
+    """
+    settings = {"multiLine": True, "quote": '"', "escape": '"', "basePath": path} | options
+    settings |= {"header": True, "enforceSchema": False}
+    if stream:
+        return reader(spark, CSV_SCHEMA, stream, **settings).csv(f"{path}/{files}")
+    lines = or_empty(
+        spark,
+        StructType([StructField("value", StringType())]),
+        path,
+        lambda: spark.read.option("basePath", path).text(f"{path}/{files}"),
+    )
+    frames = [
+        named_columns(reader(spark, schema, False, **settings).csv(list(group)))
+        for schema, group in header_groups(lines)
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], CSV_SCHEMA)
+
+
+def header_groups(lines: DataFrame) -> list[tuple[StructType, list[str]]]:
+    """The files of ``lines`` by header, each with the schema that the header names.
+
+    One row per file reaches the driver, which plans the reading of files anyway.
     """
-    settings = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "basePath": path}
-    source = reader(spark, CSV_SCHEMA, stream, **(settings | options))
-    return or_empty(spark, CSV_SCHEMA, lambda: source.csv(f"{path}/{files}"))
+    if not lines.inputFiles():
+        return []
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    heads = placed.groupBy("file").agg(F.min_by("value", F.struct("block", "line")).alias("head"))
+    groups = defaultdict(list)
+    for row in heads.orderBy("file").collect():
+        # A file's path comes as a URI; readers take it as a pattern.
+        groups[row["head"]].append(re.sub(r"([\\{}\[\]*?^])", r"\\\1", unquote(row["file"])))
+    found = []
+    for head, group in groups.items():
+        names = next(csv.reader([head.removeprefix("\ufeff")]))
+        found.append((StructType([StructField(name, StringType()) for name in names]), group))
+    return found
+
+
+def named_columns(frame: DataFrame) -> DataFrame:
+    """The declared columns by name, null where ``frame`` has none."""
+    return frame.select(
+        *[
+            (quoted(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in CSV_SCHEMA.fields
+        ]
+    )
 
 
 def api_items(documents: DataFrame, *context: str | Column) -> DataFrame:
@@ -89,5 +146,5 @@ def api_statistics(
     """Video items of API documents under ``region=/date=/hour=``, flattened."""
     settings = {"pathGlobFilter": JSON_FILES, "basePath": path} | document_options(layout)
     source = reader(spark, API_DOCUMENT, stream, **(settings | options))
-    documents = or_empty(spark, API_DOCUMENT, lambda: source.json(f"{path}/{folders}"))
+    documents = or_empty(spark, API_DOCUMENT, path, lambda: source.json(f"{path}/{folders}"))
     return api_items(documents, "region")

@@ -12,10 +12,13 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where nothing is set, as in local tests, a fresh temporary folder stands in.
+    Only where nothing is set and the session is local, as in tests, a fresh temporary folder stands
+    in; on a cluster each machine would have its own.
     """
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidestrata-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -122,6 +122,17 @@ ORACLES: dict[str, str] = {
     "csv_source": f"""WITH {FACTS}
       SELECT * REPLACE ('says "' || title || '"' || chr(10) || 'and, by ' || channel_title
         AS description) FROM facts""",
+    "csv_header_order": f"""WITH {FACTS}
+      SELECT * REPLACE (CASE WHEN length(title) % 2 = 0 THEN dislikes END AS dislikes) FROM facts""",
+    "typed_projection_numeric": f"""WITH {FACTS}
+      SELECT * REPLACE (views * 1000 AS views, likes + 20000000 AS likes) FROM facts""",
+    "landing_edge_payloads": """
+      SELECT '20240201_093000' AS ingestion_id, lower(n_name) AS region, 'trending' AS kind,
+        CASE WHEN n_nationkey % 6 IN (2, 3, 5) THEN 'failed' ELSE 'success' END AS status,
+        count(*) AS documents,
+        CASE WHEN n_nationkey % 6 IN (0, 1) THEN count(*) ELSE 0 END AS item_count,
+        CASE WHEN n_nationkey % 6 IN (2, 3, 5) THEN 'payload is not a JSON object' END AS error
+      FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, n_nationkey""",
     "region_from_path": r"""
       WITH paths AS (
         SELECT page_id, regexp_replace(url, '/([a-z]{2})/', '/region%3D\1/') AS _source_file

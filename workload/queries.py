@@ -131,6 +131,17 @@ def csv_source(spark, folder):
     return from_csv(csv_statistics(spark, path))
 
 
+@query
+def csv_header_order(spark, folder):
+    """Files whose headers are turned round, or lack a column and have one more."""
+    path = fresh_folder(spark, "headers")
+    records = as_text(appearances(spark, folder))
+    turned = F.length("title") % 2 == 0
+    write_csv(records.where(turned).select(*reversed(records.columns)), path)
+    write_csv(records.where(~turned).drop("dislikes").withColumn("more", F.lit("x")), path)
+    return from_csv(csv_statistics(spark, path))
+
+
 @query
 def region_from_path(spark, folder):
     """Regions from encoded paths; a page without a language folder has none."""
@@ -156,6 +167,17 @@ def typed_projection(spark, folder):
     return from_csv(as_text(appearances(spark, folder)))
 
 
+@query
+def typed_projection_numeric(spark, folder):
+    """Counts that a catalogue table holds as doubles, decimals and floats, large ones among them."""
+    counts = {
+        "views": (F.col("views") * 1000).cast("double"),
+        "likes": (F.col("likes") + F.lit(20_000_000)).cast("decimal(20,2)"),
+        "comment_count": F.col("comment_count").cast("float"),
+    }
+    return from_csv(appearances(spark, folder).withColumns(counts))
+
+
 @query
 def api_flatten(spark, folder):
     items = api_items(api_documents(appearances(spark, folder)), "region")
@@ -492,13 +514,36 @@ def load_manifest(spark, folder):
     return land_raw(every, fresh_folder(spark, "landing"), SOURCE_NAME, AS_OF)
 
 
+@query
+def landing_edge_payloads(spark, folder):
+    """Repeated fields and a missing list are fine; trailing text, line breaks in strings and cuts are not."""
+    customer = source(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    nation = source(spark, folder, "nation").select("n_nationkey", "n_name")
+    items = F.format_string('"items":[{"id":"%d"}]', "c_custkey")
+    forms = [
+        F.concat(F.lit("{"), items, F.lit("}")),
+        F.concat(F.lit('{"a":1,"a":2,'), items, F.lit("}")),
+        F.concat(F.lit("{"), items, F.lit("} and more")),
+        F.concat(F.lit('{"a":"one\ntwo",'), items, F.lit("}")),
+        F.lit('{"kind":"list"}'),
+        F.concat(F.lit("{"), items),
+    ]
+    payloads = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("region"),
+        F.lit("trending").alias("kind"),
+        F.element_at(F.array(*forms), (F.col("n_nationkey") % len(forms) + 1).cast("int")).alias("payload"),
+    )
+    return land_raw(payloads, fresh_folder(spark, "landing"), SOURCE_NAME, AS_OF)
+
+
 @query
 def incremental_silver(spark, folder):
     """CSV files arriving in two lots, each loaded once by a stream."""
     path = fresh_folder(spark, "arrivals")
     cfg = replace(run_config(spark, "incremental"), csv_path=path)
     records = appearances(spark, folder)
-    early = F.col("publish_time") < "1997-01-01"
+    # Keys occur in both lots, so the second one replaces records of the first.
+    early = F.crc32(F.concat_ws("|", "title", "views")) % 2 == 0
     for lot in (records.where(early), records.where(~early)):
         write_csv(lot, path)
         stream_statistics(spark, cfg, checkpoint=f"{path}-progress")
