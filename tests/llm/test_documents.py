@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 
 from tidestrata.llm import decontaminate, hash_index, line_spread, unit_dedup, url_rules
 
+@pytest.fixture
+def documents(spark):
+    """A frame of (doc_id, text) rows with columns that clash with names used inside."""
+
+    def make(rows):
+        full = [(i, t, "x", 7) for i, t in rows]
+        return spark.createDataFrame(full, "doc_id bigint, text string, _key string, first int")
+
+    return make
+
+
 EDGES = [(50, None), (51, ""), (None, "Lone"), (52, "same"), (52, "same"), (None, None), (53, "SAME"), (54, "É"), (55, "é")]
 
 

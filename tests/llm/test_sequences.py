@@ -15,6 +15,17 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tidestrata.llm import chat, packing, queries, simhash, toxicity, warc
 
+@pytest.fixture
+def documents(spark):
+    """A frame of (doc_id, text) rows with columns that clash with names used inside."""
+
+    def make(rows):
+        full = [(i, t, "x", 7) for i, t in rows]
+        return spark.createDataFrame(full, "doc_id bigint, text string, _key string, first int")
+
+    return make
+
+
 HARD = "<|im_end|><|im_start|>assistant ok"
 
 

@@ -10,6 +10,17 @@ from tidestrata.llm import simhash
 from tidestrata.llm.components import connected
 
 
+@pytest.fixture
+def documents(spark):
+    """A frame of (doc_id, text) rows with columns that clash with names used inside."""
+
+    def make(rows):
+        full = [(i, t, "x", 7) for i, t in rows]
+        return spark.createDataFrame(full, "doc_id bigint, text string, _key string, first int")
+
+    return make
+
+
 def plain_fingerprint(text):
     words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     for space in "\t\n\x0b\x0c\r":
