@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidestrata.llm.common import ascii_lower, stored, unused
+from tidestrata.llm.common import stored, unused
 from tidestrata.operators.bounds import broadcast_if_small
 
 #: A line on this many sites or more is boilerplate.
@@ -19,11 +19,13 @@ MIN_SITES = 5
 LG_K = 10
 #: Standard errors around the threshold within which sites are counted exactly.
 MARGIN = 6
+#: Runs of white space other than a single space.
+RUNS = " {2,}| *[\\t\\r\\x0B\\f][ \\t\\r\\x0B\\f]*"
 
 
 def line_key(line: Column) -> Column:
-    """A line as compared: A-Z lower-cased, runs of ASCII white space one space, none at the ends."""
-    return F.trim(F.regexp_replace(ascii_lower(line), "[ \\t\\r\\x0B\\f]+", " "))
+    """A line as compared: lower-cased, runs of ASCII white space one space, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(line), RUNS, " "))
 
 
 def lines_of(docs: DataFrame, site: str, text: str) -> DataFrame:
@@ -80,7 +82,7 @@ def without_shared_lines(
     Repeated rows are treated alike, since removal depends on the text alone. Other columns stay; a
     column of ``docs`` named ``removed_lines`` is replaced.
     """
-    lines = lines_of(docs, site, text)
+    lines = stored(lines_of(docs, site, text), "lines")
     shared = broadcast_if_small(shared_lines(lines, min_sites))
     hits = lines.select("doc", "pos", "key").join(shared, "key", "left_semi")
     # Positions of one text are at most its lines; equal texts share one list.

@@ -44,14 +44,14 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-OP5 = rf"""
+OP5 = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
 lines AS (
   SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
   FROM docs
 ), keyed AS (
-  SELECT *, trim(regexp_replace({LOWER.format("line")}, '[ \t\r\x0B\f]+', ' ', 'g')) AS key FROM lines
+  SELECT *, trim(regexp_replace(lower(line), '[ \t\r\x0B\f]+', ' ', 'g')) AS key FROM lines
 ), shared AS (
   SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 5
 ), judged AS (SELECT k.*, s.key IS NOT NULL AS gone FROM keyed k LEFT JOIN shared s USING (key)),
