@@ -15,8 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestrata.llm.common import stored, unused
-from tidestrata.operators.bounds import broadcast_if_small
+from tidestrata.llm.common import unused
 
 #: What a unit is. Sentences end at ``.``, ``!`` or ``?`` before white space, and with their line.
 UNITS = {
@@ -89,9 +88,8 @@ def repeated_units(
     digests = rows.groupBy("digest").agg(
         F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")
     )
-    # Flat columns, so that their measured size is that of the rows broadcast.
-    flat = stored(digests.where(F.col("n") > 1).select("digest", "first.*"), "repeated-units")
-    repeated = broadcast_if_small(flat).select("digest", F.struct(*flat.columns[1:]).alias("first"))
+    # Repeated digests grow with the documents, so they are not broadcast.
+    repeated = digests.where(F.col("n") > 1).select("digest", "first").hint("merge")
     return rows.join(repeated, "digest").where(F.col("rank") != F.col("first")).select(
         "rank.id",
         "rank.digest_of_text",
