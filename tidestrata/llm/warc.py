@@ -261,7 +261,8 @@ def resolved(records: DataFrame) -> DataFrame:
         .agg(F.max(F.octet_length("payload")).cast("bigint").alias("referred_bytes"))
     )
     own = records.withColumn("own_bytes", F.octet_length("payload").cast("bigint"))
-    return own.join(sizes, ["refers_to", "payload_digest"], "left").withColumn(
+    # The planner takes records for as few as the files they come from; merged, they may be many.
+    return own.join(sizes.hint("merge"), ["refers_to", "payload_digest"], "left").withColumn(
         "payload_bytes", F.coalesce("own_bytes", "referred_bytes")
     ).drop("own_bytes", "referred_bytes")
 
