@@ -19,7 +19,7 @@ from tidestrata.operators.bounds import broadcast_if_small
 
 #: Tokens of hosts, paths and literals; rules are compared with ``host + path``.
 TOKEN = "[a-z0-9]+"
-RULE_SCHEMA = "rule string, pattern string, tokens array<string>, verdict string, named boolean"
+RULE = "struct<rule: string, pattern: string, tokens: array<string>, verdict: string, named: boolean>"
 
 #: General patterns for URLs that no named rule judges: word, verdict.
 WORDS = (("casino", "block"), ("porn", "block"), ("xxx", "block"), ("viagra", "block"))
@@ -45,7 +45,11 @@ def word_rule(word: str, verdict: str) -> tuple:
 def rule_table(spark: SparkSession, sites: Sequence[tuple[str, str]], words=WORDS) -> DataFrame:
     """Rules from (verdict, ``host/path``) pairs and (word, verdict) pairs."""
     rows = [site_rule(*x) for x in sites] + [word_rule(*x) for x in words]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    structs = [
+        F.struct(F.lit(rule), F.lit(pattern), F.array(*map(F.lit, tokens)), F.lit(verdict), F.lit(named))
+        for rule, pattern, tokens, verdict, named in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs).cast(f"array<{RULE}>")))
 
 
 def host_of(url: Column) -> Column:
