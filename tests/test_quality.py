@@ -146,3 +146,9 @@ def test_table_whose_files_are_lost_fails(spark, databases, tmp_path):
         file.write_bytes(b"not parquet")
     rows = check_tables(spark, {"clean_statistics": name}, as_of=AS_OF).collect()
     assert [(r.check, r.passed) for r in rows] == [("read_table", False)]
+
+
+def test_schema_check_reads_no_rows(spark):
+    unread = spark.range(10).select(F.raise_error(F.lit("read")).alias("id"), F.lit("a").alias("region"))
+    found = check_table(unread, "reference_data", as_of=AS_OF, checks=["schema"]).collect()
+    assert [r.passed for r in found] == [True]

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from tidestrata.functions import whole_number
+from tidestrata.functions import instant_value, iso_text, whole_number
 from tidestrata.operators.landing import is_object
 from tidestrata.plans import land_raw
 from tidestrata.sources import csv_statistics
@@ -96,3 +96,39 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="all executors share"):
         shared_folder(Session())
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2024-02-01 09:30:00", "2024-02-01T09:30:00+00:00"),
+        ("2024-02-01T09:30:00Z", "2024-02-01T09:30:00+00:00"),
+        ("2024-02-01T09:30:00+02:00", "2024-02-01T07:30:00+00:00"),
+        ("2024-02-01", "2024-02-01T00:00:00+00:00"),
+        ("soon", None),
+        (None, None),
+    ],
+)
+def test_times_without_a_zone_are_utc(spark, zone, text, expected):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(text,)], "t string")
+        assert frame.select(iso_text(instant_value(F.col("t"))).alias("x")).first().x == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_csv_lines_are_split(spark, tmp_path):
+    (tmp_path / "region=us").mkdir()
+    lines = ["video_id,title", *(f'v{i},"a ""t"", {i}"' for i in range(2000))]
+    (tmp_path / "region=us" / "a.csv").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        frame = csv_statistics(spark, str(tmp_path), layout="lines")
+        assert frame.rdd.getNumPartitions() > 1
+        assert {(r.video_id, r.title) for r in frame.collect()} == {(f"v{i}", f'a "t", {i}') for i in range(2000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

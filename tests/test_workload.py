@@ -1,7 +1,4 @@
-"""Each query against its SQL on the smallest tables.
-
-Queries that run whole jobs are left to test_jobs; the driver compares them at a larger scale.
-"""
+"""Each query against its SQL on the smallest tables."""
 
 import pytest
 
@@ -11,13 +8,8 @@ from workload.compare import TESTDATA, differences
 from workload.oracles import ORACLES
 from workload.queries import QUERIES
 
-JOBS = {
-    "append_vs_merge", "gated_gold", "incremental_silver", "landed_statistics", "load_manifest",
-    "raw_landing", "reference_replay",
-}
-
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - JOBS))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_on_both_engines(spark, name):
     assert differences(spark, name, f"{TESTDATA}/sf0.001") is None
 
@@ -38,3 +30,10 @@ def test_command_line():
     assert cfg.gold("t") == "g.t" and cfg.statistics == "silver.clean_statistics"
     assert configuration(["check"])[1].regions == ("ca", "gb", "us", "in")
     assert configuration(["check", "--regions", "all"])[1].regions is None
+    job, cfg = configuration(
+        ["land", "--payload-table", "raw.p", "--landing-path", "/raw", "--checked-tables", "a,b",
+         "--statistics-partitions", "region", "--category-schema", "id STRING"]
+    )
+    assert (job, cfg.payload_table, cfg.landing_path) == ("land", "raw.p", "/raw")
+    assert cfg.checked_tables == ("a", "b") and cfg.statistics_partitions == ("region",)
+    assert cfg.category_schema.names == ["id"]

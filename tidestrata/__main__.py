@@ -11,14 +11,17 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from tidestrata.config import DEFAULT_REGIONS, PipelineConfig, QualityRules
 from tidestrata.plans import bronze_to_silver, reference_to_silver, run_pipeline, silver_to_gold
+from tidestrata.plans.landing import land
 from tidestrata.plans.pipeline import checked
 from tidestrata.streaming import stream_categories, stream_statistics
 
 TEXT_OPTIONS = (
-    "bronze_table", "csv_path", "api_path", "category_path", "api_layout", "category_layout",
+    "bronze_table", "csv_path", "api_path", "category_path", "csv_layout", "api_layout",
+    "category_layout", "payload_table", "landing_path", "landing_source",
     "silver_database", "gold_database", "statistics_table", "reference_table",
     "statistics_mode", "gold_mode", "job_name",
 )
@@ -44,7 +47,14 @@ def reference(spark: SparkSession, cfg: PipelineConfig) -> None:
     reference_to_silver(spark, cfg).show(100, truncate=False)
 
 
+def landing(spark: SparkSession, cfg: PipelineConfig) -> bool:
+    manifest = land(spark, cfg)
+    manifest.show(1000, truncate=False)
+    return manifest.where("status <> 'success'").isEmpty()
+
+
 JOBS = {
+    "land": landing,
     "bronze-to-silver": bronze_to_silver,
     "reference-to-silver": reference,
     "check": gate,
@@ -55,6 +65,10 @@ JOBS = {
 }
 
 
+def names(given: str) -> tuple[str, ...]:
+    return tuple(given.split(","))
+
+
 def parser() -> argparse.ArgumentParser:
     made = argparse.ArgumentParser(prog="tidestrata", description=__doc__.splitlines()[0])
     made.add_argument("job", choices=JOBS)
@@ -67,6 +81,11 @@ def parser() -> argparse.ArgumentParser:
         default=",".join(DEFAULT_REGIONS),
         help="region partitions to read, comma separated, or 'all'",
     )
+    made.add_argument("--checked-tables", type=names, help="tables of the gate, comma separated")
+    made.add_argument("--statistics-partitions", type=names, help="comma separated")
+    made.add_argument(
+        "--category-schema", type=StructType.fromDDL, help="fields of category items, as DDL"
+    )
     return made
 
 
@@ -74,7 +93,8 @@ def configuration(arguments: list[str]) -> tuple[str, PipelineConfig]:
     given = {k: v for k, v in vars(parser().parse_args(arguments)).items() if v is not None}
     regions = None if given["regions"] == "all" else tuple(given["regions"].split(","))
     rules = QualityRules(**{k: given[k] for k in RULE_OPTIONS if k in given})
-    texts = {k: given[k] for k in TEXT_OPTIONS if k in given}
+    others = ("checked_tables", "statistics_partitions", "category_schema")
+    texts = {k: given[k] for k in (*TEXT_OPTIONS, *others) if k in given}
     return given["job"], PipelineConfig(**texts, regions=regions, rules=rules)
 
 

@@ -43,7 +43,11 @@ class PipelineConfig:
     Raw statistics come from any mix of a catalogue table, CSV files and API documents.
     ``api_layout`` is ``"documents"`` for one pretty-printed document per file, or ``"lines"``
     for one document per line, which is what :func:`tidestrata.plans.landing.land_raw` writes
-    and what Spark can split.
+    and what Spark can split. ``csv_layout="lines"`` says that no CSV field holds a line break, so
+    that these files can be split as well.
+
+    ``category_schema`` fixes the fields of category items; without it they are found in the files.
+    ``checked_tables`` are the cleaned tables that the gate looks at; None means both.
 
     Cleaned statistics are partitioned by region and, below it, by day: a merge rewrites whole
     partitions, and a new day's files should not rewrite a region's history. ``("region",)`` keeps
@@ -54,9 +58,13 @@ class PipelineConfig:
     csv_path: str | None = None
     api_path: str | None = None
     category_path: str | None = None
+    csv_layout: str = "documents"
     api_layout: str = "documents"
     category_layout: str = "documents"
     category_schema: StructType | None = None
+    payload_table: str | None = None
+    landing_path: str | None = None
+    landing_source: str = "api"
 
     silver_database: str = "silver"
     gold_database: str = "gold"
@@ -70,6 +78,7 @@ class PipelineConfig:
     job_name: str = "bronze_to_silver"
     as_of: datetime | None = None
     rules: QualityRules = field(default_factory=QualityRules)
+    checked_tables: tuple[str, ...] | None = None
 
     @property
     def statistics(self) -> str:

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType
+from pyspark.sql.types import DataType, NumericType, TimestampType
+
+
+#: A time's zone at its end.
+ZONE = r":\d.*(Z|UTC|GMT|[+-]\d\d?(:?\d\d)?|[A-Za-z]+/\w+)\s*$"
 
 
 def text(value: Column) -> Column:
@@ -35,6 +39,14 @@ def number(value: Column) -> Column:
     return value.try_cast("double")
 
 
-def instant_value(value: Column) -> Column:
-    """A timestamp from a timestamp or from ISO text; bad text is null."""
-    return value.try_cast("timestamp")
+def instant_value(value: Column, found: DataType | None = None) -> Column:
+    """A timestamp from a timestamp or from ISO text; bad text is null.
+
+    ``found`` is the type of ``value``. A time that names no zone is UTC, whatever the session's.
+    """
+    if isinstance(found, (TimestampType, NumericType)):
+        return value.try_cast("timestamp")
+    naive = value.try_cast("timestamp_ntz")
+    here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), naive).try_cast("timestamp")
+    zoned = value.cast("string").rlike(ZONE)
+    return F.when(zoned, value.cast("string").try_cast("timestamp")).otherwise(here)

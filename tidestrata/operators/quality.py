@@ -65,6 +65,7 @@ def row_count(frame: DataFrame, name: str, rules: QualityRules, now: Column) ->
     rows = F.col(ROWS)
     shown = F.format_string(ROW_COUNT_TEXT, rows, F.lit(str(rules.min_rows)))
     return Check(
+        measures={ROWS: F.count(F.lit(1))},
         results=[
             result(
                 "row_count",
@@ -98,7 +99,7 @@ def null_pct(frame: DataFrame, name: str, rules: QualityRules, now: Column) -> C
         if kinds[column] in ("double", "float"):
             empty = empty | F.isnan(quoted(column))
         key = f"nulls_{place}"
-        check.measures[key] = F.count_if(empty)
+        check.measures |= {ROWS: F.count(F.lit(1)), key: F.count_if(empty)}
         percent = F.coalesce(F.try_divide(F.col(key), F.col(ROWS)) * 100, F.lit(100.0))
         limit = F.lit(str(rules.max_null_pct))
         check.results.append(
@@ -178,7 +179,7 @@ def freshness(frame: DataFrame, name: str, rules: QualityRules, now: Column) ->
     newest_text, cutoff_text = iso_text(newest, " "), iso_text(cutoff, " ")
     note = F.lit(NOT_PARSED_TEXT % column)
     return Check(
-        measures={"newest": F.max(instant_value(quoted(column)))},
+        measures={"newest": F.max(instant_value(quoted(column), frame.schema[column].dataType))},
         results=[
             result(
                 "freshness",
@@ -212,13 +213,16 @@ def check_table(
         frame = bounded_sample(frame, rules.sample_rows)
     now = instant(as_of)
     built = [BUILDERS[check](frame, name, rules, now) for check in checks]
-    measures = {ROWS: F.count(F.lit(1))}
+    measures = {}
     for check in built:
         measures |= check.measures
     results = [row for check in built for row in check.results]
-    taken = frame.agg(*[measure.alias(key) for key, measure in measures.items()])
     if not results:
-        return taken.sparkSession.createDataFrame([], CHECK_RESULT)
+        return frame.sparkSession.createDataFrame([], CHECK_RESULT)
+    # Column names alone need no look at the rows.
+    taken = frame.agg(*[measure.alias(key) for key, measure in measures.items()]) if measures else (
+        frame.sparkSession.range(1)
+    )
     return taken.select(F.inline(F.array(*results)))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidestrata.operators.bounds import broadcast_if_small
-from tidestrata.workspace import prepare_checkpoints
+from tidestrata.workspace import scratch_folder
 
 SERIAL, SLICE, FIRST, BEFORE = "_serial", "_slice", "_first", "_before"
 
@@ -26,12 +26,16 @@ PLACE_BITS = 33
 def with_rank(frame: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """``frame`` with its row number in ``group`` by ``order``, as ``name``.
 
-    Slice limits come from a sample, so the sliced rows are checkpointed once: their count and
-    their numbering have to see the same slices, also after a lost executor.
+    Slice limits come from a sample, so the sliced rows are written once to the shared folder, where
+    they stay until the session ends: their count and their numbering have to see the same slices,
+    also after a lost executor.
     """
-    prepare_checkpoints(frame.sparkSession)
+    spark = frame.sparkSession
     sliced = frame.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
-    stored = sliced.withColumn(SERIAL, F.monotonically_increasing_id()).checkpoint()
+    folder = scratch_folder(spark, "ranks")
+    numbered = sliced.withColumn(SERIAL, F.monotonically_increasing_id())
+    numbered.write.parquet(folder)
+    stored = spark.read.schema(numbered.schema).parquet(folder)
 
     slice_of = F.shiftright(SERIAL, PLACE_BITS)
     runs = stored.groupBy(*group, slice_of.alias(SLICE)).agg(

@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from tidestrata.config import PipelineConfig
 from tidestrata.operators.landing import assessed, by_kind, manifest, stamped_documents
 from tidestrata.sinks.merge import discard, stored
 from tidestrata.sinks.tables import PER_PARTITION, spread
+from tidestrata.sources import table
 from tidestrata.workspace import shared_folder
 
 # The raw folders.
@@ -48,3 +50,10 @@ def land_raw(
     result = stored(result.coalesce(1), f"{folder}/manifest")
     discard(spark, f"{folder}/assessed")
     return result
+
+
+def land(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Land the fetched payloads of ``cfg.payload_table`` under ``cfg.landing_path``."""
+    if not (cfg.payload_table and cfg.landing_path):
+        raise ValueError("name a payload_table and a landing_path")
+    return land_raw(table(spark, cfg.payload_table), cfg.landing_path, cfg.landing_source, cfg.as_of)

@@ -29,8 +29,9 @@ class PipelineRun:
 
 
 def checked(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
-    """The gate alone, over the two cleaned tables."""
-    tables = {cfg.statistics_table: cfg.statistics, cfg.reference_table: cfg.reference}
+    """The gate alone, over the cleaned tables: both, or those that ``cfg.checked_tables`` names."""
+    names = cfg.checked_tables or (cfg.statistics_table, cfg.reference_table)
+    tables = {name: f"{cfg.silver_database}.{name}" for name in names}
     checks = check_tables(spark, tables, cfg.rules, cfg.as_of)
     row = verdict(checks).drop("details").first()
     return PipelineRun(row["quality_passed"], row["checks_passed"], row["checks_total"], checks)

@@ -40,7 +40,7 @@ def raw_statistics(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     if cfg.bronze_table:
         sources.append(table(spark, cfg.bronze_table))
     if cfg.csv_path:
-        sources.append(csv_statistics(spark, cfg.csv_path))
+        sources.append(csv_statistics(spark, cfg.csv_path, layout=cfg.csv_layout))
     if cfg.api_path:
         sources.append(api_statistics(spark, cfg.api_path, layout=cfg.api_layout))
     if not sources:

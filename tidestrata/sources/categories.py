@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -16,6 +17,38 @@ from tidestrata.sources.statistics import JSON_FILES, document_options, reader
 BAD = "_unparsed"
 
 
+def found_item(spark: SparkSession, path: str, **options) -> StructType:
+    """The declared item fields and, as text, further ones of the items in the files.
+
+    Fields outside any ``items`` count only where no document has the list.
+    """
+    try:
+        found = spark.read.options(**options, primitivesAsString=True).json(path).schema
+    except AnalysisException as problem:
+        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return CATEGORY_ITEM
+    if "items" not in found.names:
+        own = {"_corrupt_record", "_pipeline_metadata"}
+        return with_further(CATEGORY_ITEM, StructType([f for f in found if f.name not in own]))
+    items = found["items"].dataType
+    entry = items.elementType if isinstance(items, ArrayType) else None
+    return with_further(CATEGORY_ITEM, entry) if isinstance(entry, StructType) else CATEGORY_ITEM
+
+
+def with_further(declared: StructType, found: StructType) -> StructType:
+    """``declared`` with the fields that only ``found`` has, at every level."""
+    others = {f.name.lower(): f for f in found.fields}
+    fields = []
+    for field in declared.fields:
+        other = others.pop(field.name.lower(), None)
+        kind = field.dataType
+        if other is not None and isinstance(kind, StructType) and isinstance(other.dataType, StructType):
+            kind = with_further(kind, other.dataType)
+        fields.append(StructField(field.name, kind))
+    return StructType(fields + list(others.values()))
+
+
 def category_documents(
     spark: SparkSession,
     path: str,
@@ -27,10 +60,13 @@ def category_documents(
 ) -> DataFrame:
     """One row per document: items, region, file, its times, and the text if unreadable.
 
-    A document without an ``items`` list is taken as one item itself. ``item`` declares further
-    item fields; a field the document lacks is null.
+    A document without an ``items`` list is taken as one item itself. ``item`` declares the item's
+    fields; without it they are the usual ones and whatever else the files hold, found by a pass
+    over them. A stream looks when it starts, so a field that first comes in a file arriving later
+    is found by the next run. A field the document lacks is null.
     """
-    item = item or CATEGORY_ITEM
+    settings = {"pathGlobFilter": JSON_FILES, "recursiveFileLookup": True} | document_options(layout)
+    item = item or found_item(spark, path, **(settings | options))
     # "items" is declared next to the item's own fields, for the document that is one item.
     document = StructType(
         [
@@ -40,11 +76,7 @@ def category_documents(
             StructField(BAD, StringType()),
         ]
     )
-    settings = {
-        "pathGlobFilter": JSON_FILES,
-        "columnNameOfCorruptRecord": BAD,
-        "recursiveFileLookup": True,
-    } | document_options(layout)
+    settings["columnNameOfCorruptRecord"] = BAD
     raw = reader(spark, document, stream, **(settings | options)).json(path)
     fields = [F.col(field.name) for field in item.fields]
     items = F.coalesce("items", F.array(F.struct(*fields)))

@@ -66,16 +66,23 @@ def keep_regions(frame: DataFrame, regions: Iterable[str] | None) -> DataFrame:
 
 
 def csv_statistics(
-    spark: SparkSession, path: str, *, files: str = CSV_FOLDERS, stream: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    *,
+    layout: str = "documents",
+    files: str = CSV_FOLDERS,
+    stream: bool = False,
+    **options,
 ) -> DataFrame:
     """CSV rows under ``region=xx/`` as text columns.
 
     Columns go by the header of each file, in whatever order; one that a file lacks is null, further
     ones are left out. A stream takes files one by one and cannot sort them by header, so there
     another header than the declared one is an error. Descriptions hold line breaks inside quotes,
-    so a file is parsed as a whole and files are the unit of parallelism.
+    so with the ``documents`` layout a file is parsed as a whole and files are the unit of
+    parallelism. Where no field has a line break, ``lines`` lets Spark split files.
     """
-    settings = {"multiLine": True, "quote": '"', "escape": '"', "basePath": path} | options
+    settings = {"quote": '"', "escape": '"', "basePath": path} | document_options(layout) | options
     settings |= {"header": True, "enforceSchema": False}
     if stream:
         return reader(spark, CSV_SCHEMA, stream, **settings).csv(f"{path}/{files}")

@@ -40,7 +40,9 @@ def stream_statistics(
     options = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
     sources = {}
     if cfg.csv_path:
-        sources["csv"] = csv_statistics(spark, cfg.csv_path, stream=True, **options)
+        sources["csv"] = csv_statistics(
+            spark, cfg.csv_path, layout=cfg.csv_layout, stream=True, **options
+        )
     if cfg.api_path:
         sources["api"] = api_statistics(
             spark, cfg.api_path, layout=cfg.api_layout, stream=True, **options

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A fresh path in the shared folder, deleted when the session ends."""
+    folder = f"{shared_folder(spark)}/{kind}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def prepare_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping a folder that is set already."""
     context = spark.sparkContext

@@ -113,6 +113,12 @@ API_RECORD = """video_id, '24.01.02' AS trending_date, title, channel_title, cat
   comment_count, NULL::varchar AS thumbnail_link, false AS comments_disabled,
   false AS ratings_disabled, false AS video_error_or_removed, NULL::varchar AS description"""
 
+# One category file per region, each in another state.
+CATEGORY_FILES = """WITH files AS (
+  SELECT r_regionkey, r_name, r_regionkey % 5 AS state, count(*) AS nations,
+    min(n_nationkey::varchar) AS first_id
+  FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)"""
+
 CRITICAL = ("video_id", "title", "channel_title", "views", "region")
 
 ORACLES: dict[str, str] = {
@@ -126,6 +132,61 @@ ORACLES: dict[str, str] = {
       SELECT * REPLACE (CASE WHEN length(title) % 2 = 0 THEN dislikes END AS dislikes) FROM facts""",
     "typed_projection_numeric": f"""WITH {FACTS}
       SELECT * REPLACE (views * 1000 AS views, likes + 20000000 AS likes) FROM facts""",
+    "csv_lines": f"""WITH {FACTS}
+      SELECT * REPLACE ('says "' || title || '", by ' || channel_title AS description) FROM facts""",
+    "api_documents_layout": f"""WITH {ITEMS}
+      SELECT * REPLACE (NULL::bigint AS dislikes) FROM (
+        SELECT {API_RECORD}, region FROM items)""",
+    "api_flatten_underscores": f"WITH {ITEMS} SELECT {API_RECORD}, region FROM items",
+    "reference_report": f"""{CATEGORY_FILES}
+      SELECT lower(r_name) AS region, 'region=' || replace(lower(r_name), ' ', '%20') AS _source_file,
+        CASE WHEN state < 3 THEN 'success' ELSE 'failed' END AS status,
+        (CASE WHEN state < 2 THEN nations WHEN state = 2 THEN 1 ELSE 0 END)::int AS items,
+        CASE state WHEN 0 THEN '' WHEN 1 THEN 'snippet.title' WHEN 2 THEN '' END AS missing_columns,
+        CASE state WHEN 3 THEN 'not readable as JSON' WHEN 4 THEN 'no category items found' END
+          AS error
+      FROM files""",
+    "reference_files": f"""{CATEGORY_FILES}
+      SELECT n_nationkey::varchar AS id, CASE WHEN state <> 1 THEN n_name END AS snippet_title,
+        '2024-02-01T09:30:00+00:00' AS _ingestion_timestamp, 'region=' || replace(lower(r_name), ' ', '%20') AS _source_file,
+        lower(r_name) AS region
+      FROM files JOIN nation ON n_regionkey = r_regionkey
+      WHERE state < 2 OR (state = 2 AND n_nationkey::varchar = first_id)""",
+    "dq_value_range_text": f"""WITH {SILVER},
+      counted AS (
+        SELECT count_if(dislikes = 0)::bigint AS below,
+          count_if(dislikes = 2 AND views * 10000000 > 50000000000)::bigint AS above
+        FROM silver)
+      SELECT 'value_range' AS "check", 'clean_statistics' AS "table", 'views' AS "column",
+        below AS negative_count, above AS extreme_count, below = 0 AND above = 0 AS passed,
+        'Views: ' || below::varchar || ' negative, ' || above::varchar
+          || ' extreme (>50,000,000,000)' AS message
+      FROM counted""",
+    "dq_freshness_text": """
+      WITH shown AS (
+        SELECT max(date_trunc('second', ts)) AS newest FROM events WHERE event_id % 3 < 2),
+      texts AS (
+        SELECT strftime(newest, '%Y-%m-%d %H:%M:%S') || '+00:00' AS latest_record,
+          '2024-01-30 09:30:00+00:00' AS cutoff,
+          newest >= TIMESTAMP '2024-01-30 09:30:00' AS passed
+        FROM shown)
+      SELECT 'freshness' AS "check", 'events' AS "table", latest_record, cutoff, passed,
+        'Latest: ' || latest_record || ', Cutoff: ' || cutoff AS message
+      FROM texts""",
+    "reference_new_field": """
+      SELECT n_nationkey::varchar AS id, n_name AS snippet_title,
+        CASE WHEN r_regionkey % 2 = 1 THEN r_name END AS snippet_label, lower(r_name) AS region
+      FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "empty_input": f"""WITH {SILVER}
+      SELECT region, count(*) AS records, (SELECT count(*) FROM facts) AS first_read,
+        (SELECT count(*) FROM facts WHERE video_id = '') AS second_read
+      FROM silver GROUP BY region""",
+    "blocked_gate": f"""WITH {SILVER},
+      far AS (SELECT count_if(views > 1000) AS n FROM silver)
+      SELECT region, count(*) AS records, (SELECT n = 0 FROM far) AS quality_passed,
+        (SELECT least(n, 1)::int FROM far) AS checks_failed,
+        (SELECT n = 0 FROM far) AS summaries_built
+      FROM silver GROUP BY region""",
     "landing_edge_payloads": """
       SELECT '20240201_093000' AS ingestion_id, lower(n_name) AS region, 'trending' AS kind,
         CASE WHEN n_nationkey % 6 IN (2, 3, 5) THEN 'failed' ELSE 'success' END AS status,
@@ -321,16 +382,17 @@ ORACLES: dict[str, str] = {
         count(*) AS documents,
         sum(CASE WHEN likes IS NULL THEN 1 ELSE 2 END)::bigint AS video_count,
         sum(CASE WHEN likes IS NULL THEN 1 ELSE 2 END)::bigint AS items
-      FROM facts WHERE views <> 0 GROUP BY region""",
+      FROM facts GROUP BY region""",
     "landed_statistics": f"""WITH {ITEMS}
       SELECT * REPLACE (NULL::bigint AS dislikes) FROM (
-        SELECT {API_RECORD}, lower(trim(region)) AS region FROM items WHERE views <> 0)""",
+        SELECT {API_RECORD}, lower(trim(region)) AS region FROM items)""",
     "load_manifest": f"""WITH {FACTS},
       trending AS (
         SELECT lower(trim(region)) AS region, count(*) AS documents,
-          count_if(views = 0) AS failed,
-          sum(CASE WHEN views = 0 THEN 0 WHEN likes IS NULL THEN 1 ELSE 2 END)::bigint AS items
-        FROM facts WHERE region <> ' ASIA' OR views > 0 GROUP BY region)
+          count_if(views = 0 AND region <> ' ASIA') AS failed,
+          sum(CASE WHEN views = 0 AND region <> ' ASIA' THEN 0 WHEN likes IS NULL THEN 1
+                   ELSE 2 END)::bigint AS items
+        FROM facts GROUP BY region)
       SELECT '20240201_093000' AS ingestion_id, region, 'trending' AS kind,
         CASE WHEN failed = 0 THEN 'success' ELSE 'failed' END AS status, documents,
         items AS item_count,

@@ -21,6 +21,7 @@ from tidestrata.functions import (
 )
 from tidestrata.operators.categories import (
     category_lookup,
+    document_report,
     reference_records,
     with_category_names,
 )
@@ -41,12 +42,14 @@ from tidestrata.plans import (
     clean_statistics,
     land_raw,
     load_statistics,
+    reference_to_silver,
     run_pipeline,
 )
 from tidestrata.sinks import append, overwrite_partitions
 from tidestrata.sources import (
     api_items,
     api_statistics,
+    category_documents,
     csv_statistics,
     keep_regions,
     optional_table,
@@ -142,6 +145,33 @@ def csv_header_order(spark, folder):
     return from_csv(csv_statistics(spark, path))
 
 
+@query
+def csv_lines(spark, folder):
+    """CSV files without line breaks in fields, which Spark may split."""
+    path = fresh_folder(spark, "csv-lines")
+    quote = F.format_string('says "%s", by %s', "title", "channel_title")
+    write_csv(appearances(spark, folder).withColumn("description", quote), path)
+    return from_csv(csv_statistics(spark, path, layout="lines"))
+
+
+@query
+def api_documents_layout(spark, folder):
+    """One pretty-printed document per file: each channel's videos of a region."""
+    path = fresh_folder(spark, "documents")
+    single = api_documents(appearances(spark, folder)).withColumn(
+        "channel", F.col("items")[0]["snippet"]["channelTitle"]
+    )
+    # A channel is a supplier, whose line items do not grow with the tables.
+    documents = single.groupBy("region", "channel").agg(
+        F.flatten(F.collect_list("items")).alias("items")
+    )
+    text = F.to_json(F.struct("items"), {"pretty": "true"})
+    documents.select(
+        text, "region", F.lit("2024-02-01").alias("date"), F.lit("09").alias("hour")
+    ).write.option("maxRecordsPerFile", 1).partitionBy("region", "date", "hour").text(path)
+    return statistics_record(api_statistics(spark, path), AS_OF)
+
+
 @query
 def region_from_path(spark, folder):
     """Regions from encoded paths; a page without a language folder has none."""
@@ -184,6 +214,14 @@ def api_flatten(spark, folder):
     return from_api(items, AS_OF)
 
 
+@query
+def api_flatten_underscores(spark, folder):
+    """Items whose nested fields a catalogue names with double underscores."""
+    items = api_items(api_documents(appearances(spark, folder)), "region")
+    names = [quoted(c).alias(c.replace(".", "__")) for c in items.columns]
+    return from_api(items.select(*names), AS_OF)
+
+
 @query
 def api_trending_date(spark, folder):
     """The run's day on API rows, and the run instant as folder names and id."""
@@ -285,6 +323,51 @@ def reference_dedup(spark, folder):
     return reference_records(documents, AS_OF)
 
 
+def category_files(spark, folder) -> str:
+    """A pretty-printed category file per region, each in another state."""
+    region, nation = source(spark, folder, "region"), source(spark, folder, "nation")
+    key = F.col("n_nationkey").cast("string").alias("id")
+    titled = F.struct(key, F.struct(F.col("n_name").alias("title")).alias("snippet"))
+    grouped = (
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .groupBy("r_regionkey", "r_name")
+        .agg(
+            F.array_sort(F.collect_list(titled)).alias("titled"),
+            F.array_sort(F.collect_list(F.struct(key))).alias("untitled"),
+        )
+    )
+    whole = F.to_json(F.struct(F.col("titled").alias("items")), {"pretty": "true"})
+    forms = [
+        whole,
+        F.to_json(F.struct(F.col("untitled").alias("items"))),
+        F.to_json(F.col("titled")[0], {"pretty": "true"}),
+        F.substring(whole, 1, 20),
+        F.lit('{"items": []}'),
+    ]
+    text = F.element_at(F.array(*forms), (F.col("r_regionkey") % len(forms) + 1).cast("int"))
+    path = fresh_folder(spark, "category-files")
+    grouped.select(text, F.lower("r_name").alias("region")).write.partitionBy("region").text(path)
+    return path
+
+
+@query
+def reference_report(spark, folder):
+    """The report of category files: good, without titles, one item, unreadable, empty."""
+    report = document_report(category_documents(spark, category_files(spark, folder)))
+    place = F.regexp_extract("_source_file", r"/(region=[^/]*)/[^/]*\.txt$", 1)
+    return report.withColumn("_source_file", place)
+
+
+@query
+def reference_files(spark, folder):
+    """The rows that the same files give."""
+    records = reference_records(category_documents(spark, category_files(spark, folder)), AS_OF)
+    place = F.regexp_extract("_source_file", r"/(region=[^/]*)/[^/]*\.txt$", 1)
+    return records.select(
+        "id", quoted("snippet.title"), "_ingestion_timestamp", place.alias("_source_file"), "region"
+    )
+
+
 @query
 def category_names(spark, folder):
     """One name per category out of many regions' names for it."""
@@ -370,6 +453,40 @@ register(
 )
 
 
+@query
+def dq_value_range_text(spark, folder):
+    """Views as text: negative, beyond the limit, and no numbers at all."""
+    views = F.col("views").cast("string")
+    kind = F.col("dislikes")
+    texts = (
+        F.when(kind == 0, F.concat(F.lit("-"), views, F.lit(".5")))
+        .when(kind == 1, F.lit("none"))
+        .when(kind == 2, F.concat(views, F.lit("0000000")))
+        .otherwise(views)
+    )
+    frame = silver(spark, folder).withColumn("views", texts)
+    results = check_table(frame, "clean_statistics", as_of=AS_OF, checks=["value_range"])
+    return results.select(
+        "check", "table", "column", "negative_count", "extreme_count", "passed", "message"
+    )
+
+
+@query
+def dq_freshness_text(spark, folder):
+    """Times as text: with an offset, without a zone, which means UTC, and no times."""
+    events = source(spark, folder, "events")
+    zoned = F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss'+02:00'")
+    naive = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    texts = (
+        F.when(F.col("event_id") % 3 == 0, zoned)
+        .when(F.col("event_id") % 3 == 1, naive)
+        .otherwise(F.lit("soon"))
+    )
+    frame = events.select(texts.alias("_processed_at"))
+    results = check_table(frame, "events", as_of=AS_OF, checks=["freshness"])
+    return results.select("check", "table", "latest_record", "cutoff", "passed", "message")
+
+
 @query
 def dq_null_pct_partial(spark, folder):
     """Missing values in a table that has many: raw likes, and a column that is not there."""
@@ -508,9 +625,8 @@ def landed_statistics(spark, folder):
 @query
 def load_manifest(spark, folder):
     """Broken trending payloads: their region fails, and its categories are not landed."""
-    payloads = trending_payloads(appearances(spark, folder).where("region <> ' ASIA'"))
-    asia = trending_payloads(appearances(spark, folder).where("region = ' ASIA' and views > 0"))
-    every = payloads.unionByName(asia).unionByName(category_payloads(spark, folder))
+    trending = trending_payloads(appearances(spark, folder), breaking=True)
+    every = trending.unionByName(category_payloads(spark, folder))
     return land_raw(every, fresh_folder(spark, "landing"), SOURCE_NAME, AS_OF)
 
 
@@ -567,6 +683,81 @@ def reference_replay(spark, folder):
     )
 
 
+@query
+def reference_new_field(spark, folder):
+    """A later load of category files brings a field that no schema declares."""
+    path = fresh_folder(spark, "new-field")
+    cfg = replace(
+        run_config(spark, "field"), category_path=path, category_layout="lines"
+    )
+    region, nation = source(spark, folder, "region"), source(spark, folder, "nation")
+    nations = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    title = F.col("n_name").alias("title")
+    odd = F.col("r_regionkey") % 2 == 1
+    for chosen, snippet in (
+        (~odd, F.struct(title)),
+        (odd, F.struct(title, F.col("r_name").alias("label"))),
+    ):
+        item = F.struct(F.col("n_nationkey").cast("string").alias("id"), snippet.alias("snippet"))
+        lot = nations.where(chosen).groupBy(F.lower("r_name").alias("region"))
+        documents = lot.agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("text"))
+        documents.write.mode("append").partitionBy("region").text(path)
+        reference_to_silver(spark, cfg)
+    return table(spark, cfg.reference).select(
+        "id", quoted("snippet.title"), quoted("snippet.label"), "region"
+    )
+
+
+@query
+def empty_input(spark, folder):
+    """A run over all records, and one that finds none: it reads no rows and changes none."""
+    cfg = run_config(spark, "empty")
+    records = appearances(spark, folder)
+    first = load_statistics(records, cfg)
+    second = load_statistics(records.where("video_id = ''"), cfg)
+    return (
+        table(spark, cfg.statistics)
+        .groupBy("region")
+        .agg(F.count(F.lit(1)).alias("records"))
+        .withColumns(
+            {
+                "first_read": F.lit(first["rows_read"]).cast("bigint"),
+                "second_read": F.lit(second["rows_read"]).cast("bigint"),
+            }
+        )
+    )
+
+
+@query
+def blocked_gate(spark, folder):
+    """A whole run whose views exceed the limit: cleaned tables are there, summaries are not."""
+    path = fresh_folder(spark, "blocked")
+    write_csv(appearances(spark, folder), f"{path}/statistics")
+    land_raw(category_payloads(spark, folder), path, SOURCE_NAME, AS_OF)
+    cfg = replace(
+        run_config(spark, "blocked"),
+        csv_path=f"{path}/statistics",
+        csv_layout="lines",
+        category_path=f"{path}/raw_statistics_reference_data",
+        category_layout="lines",
+        rules=QualityRules(max_views=1000),
+    )
+    run = run_pipeline(spark, cfg)
+    built = spark.catalog.tableExists(cfg.gold("channel_analytics"))
+    return (
+        table(spark, cfg.statistics)
+        .groupBy("region")
+        .agg(F.count(F.lit(1)).alias("records"))
+        .withColumns(
+            {
+                "quality_passed": F.lit(run.quality_passed),
+                "checks_failed": F.lit(run.checks_total - run.checks_passed),
+                "summaries_built": F.lit(built),
+            }
+        )
+    )
+
+
 @query
 def gated_gold(spark, folder):
     """All layers from files to the channel summary, behind the gate."""
