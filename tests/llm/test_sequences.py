@@ -47,7 +47,7 @@ def conversation_rows():
         turns = shared + ["say %d" % rng.randrange(4) for _ in range(rng.randrange(1, 5))]
         rows += [(conv, k, "user" if k % 2 == 0 else "assistant", t) for k, t in enumerate(turns)]
     rows += [(70, 0, None, None), (70, 1, "assistant", None), (71, 5, "assistant", HARD), (71, 3, "user", HARD)]
-    rows += [(None, 0, "user", "x"), (72, 0, "a\nb", "y" * 30_000), (73, 0, "user", "same"), (73, 0, "user", "same")]
+    rows += [(None, 0, "user", "x"), (72, 0, "a\nb", "y" * 30_000), (76, 0, "user", " " * 300_000 + HARD), (73, 0, "user", "same"), (73, 0, "user", "same")]
     rows += [(74, 0, "user", "a <|im_start|> \\ é"), (75, None, "assistant", "late"), (75, 0, "user", "")]
     return rows
 
@@ -67,7 +67,7 @@ def test_prefix_tree(spark):
     by_tree = defaultdict(list)
     for s in rows_of:
         by_tree[s.tree].append(s)
-    encoder = packing.byte_pair_encoder(queries.vocabulary())
+    encoder = packing.BytePairEncoder(queries.vocabulary())
     seen = set()
     for tree in by_tree.values():
         at, stack = 0, []
@@ -95,7 +95,7 @@ def test_pieces_have_the_ids_of_the_vocabulary(spark, documents):
     import public_tokenizers
 
     rng = random.Random(1)
-    texts = [None, "", "a", " \n\n <|endoftext|> it's 12é ñ  " * 3, "x" * 5000] + [" ".join(rng.choices(["the", "Ñu", "don't", "\t", "1234"], k=k)) for k in (2047, 2048, 9000)]
+    texts = [None, "", "a", " \n\n <|endoftext|> it's 12é ñ  " * 3, "x" * 5000, "a" + " " * 300_000 + "b <|endoftext|>", "\n" * 300_000] + [" ".join(rng.choices(["the", "Ñu", "don't", "\t", "1234"], k=k)) for k in (2047, 2048, 9000)]
     rows = list(enumerate(texts)) + [(None, "no id"), (3, texts[3])]
     tokens = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
     tokens.encode_special_tokens = True

@@ -71,7 +71,7 @@ def node_digest(parent: bytes, role: str, text: str) -> bytes:
 
 def with_paths(turns: DataFrame, vocabulary: str) -> DataFrame:
     """(conv_id, path, nodes) of every conversation; a node has its digest and its turn's tokens."""
-    from tidestrata.llm.packing import byte_pair_encoder
+    from tidestrata.llm.packing import BytePairEncoder
 
     ordered = turns.groupBy("conv_id").agg(
         F.sort_array(
@@ -85,16 +85,16 @@ def with_paths(turns: DataFrame, vocabulary: str) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_pair_encoder(vocabulary)
+        encoder = BytePairEncoder(vocabulary)
         known: dict[str, list[int]] = {}
 
         def ids(text):
             if len(text) > 100:
-                return encoder.encode_ordinary(text)
+                return encoder.encode(text).tolist()
             if text not in known:
                 if len(known) > 10_000:
                     known.clear()
-                known[text] = encoder.encode_ordinary(text)
+                known[text] = encoder.encode(text).tolist()
             return known[text]
 
         for batch in batches:
@@ -247,7 +247,7 @@ def conversations(segments: DataFrame, leaves: DataFrame, vocabulary: str) -> Da
     A conversation's segments are those of its leaf's route. Tokens are decoded and the template is
     parsed; ``loss`` is the unescaped text under the loss mask, null where a turn has none.
     """
-    from tidestrata.llm.packing import byte_pair_encoder
+    from tidestrata.llm.packing import BytePairEncoder
 
     steps = leaves.select("conv_id", "tree", F.posexplode("offsets").alias("number", "offset"))
     pieces = steps.join(
@@ -261,8 +261,8 @@ def conversations(segments: DataFrame, leaves: DataFrame, vocabulary: str) -> Da
     turn = pa.struct([("role", pa.string()), ("text", pa.string()), ("chars", pa.int64()), ("loss", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_pair_encoder(vocabulary)
-        text_of = lambda ids: encoder.decode_bytes(ids).decode()
+        encoder = BytePairEncoder(vocabulary)
+        text_of = encoder.decode
         for batch in batches:
             read = []
             for pieces in batch.column(1):

@@ -33,16 +33,42 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 PLACED = f"{PIECES}, sequence_id bigint, offset bigint"
 
 
-def byte_pair_encoder(path: str):
-    """The encoder of a byte-level vocabulary given as lines of base64 token and rank."""
-    import public_tokenizers
-    import tiktoken
-
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding(
-        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
+class BytePairEncoder:
+    """Ids of a byte-level vocabulary, given as lines of base64 token and rank.
+
+    The rank file's library gives the ids of the JSON file of the same name several times as fast,
+    but its splitting pattern gives up on runs of some hundred thousand white spaces. Texts with
+    such runs go to the library of the JSON file, which is loaded when the first is met. Strings of
+    special tokens are ordinary text to both.
+    """
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.path, self.plain = path, None
+        self.fast = tiktoken.Encoding(
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def encode(self, text: str) -> np.ndarray:
+        try:
+            return self.fast.encode_to_numpy(text)
+        except ValueError:
+            return np.array(self._plain().encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _plain(self):
+        from tokenizers import Tokenizer
+
+        if self.plain is None:
+            self.plain = Tokenizer.from_file(self.path.removesuffix(".tiktoken") + ".json")
+            self.plain.encode_special_tokens = True
+        return self.plain
+
+    def decode(self, ids) -> str:
+        return self.fast.decode_bytes(ids).decode()
 
 
 def cut_places(total: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -57,19 +83,18 @@ def token_pieces(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document, ended by id 0.
 
-    ``vocabulary`` is the rank file of the same byte-level vocabulary that the JSON file holds; its
-    library gives the same ids several times as fast. A null text counts as empty, so it is the end
-    id alone; a document of at most ``capacity`` ids is one piece.
+    ``vocabulary`` is a rank file with the JSON file of the same vocabulary beside it. A null text
+    counts as empty, so it is the end id alone; a document of at most ``capacity`` ids is one piece.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_pair_encoder(vocabulary)
+        encoder = BytePairEncoder(vocabulary)
         names = ["piece", "start", "length", "ids_crc32"]
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             rows, found = [], []
             for row, value in enumerate(batch.column(1)):
-                ids = encoder.encode_to_numpy(value.as_py() or "")
+                ids = encoder.encode(value.as_py() or "")
                 data = np.append(ids, END).astype("<u4")
                 for piece, (start, length) in enumerate(cut_places(len(data), capacity)):
                     rows.append(row)
