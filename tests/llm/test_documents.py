@@ -178,7 +178,7 @@ def test_contaminated(spark, documents, block_bytes):
     table = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontaminate.contaminated(documents(rows), table, block_bytes=block_bytes)
     assert sorted((tuple(r)[:4] for r in found.collect()), key=str) == brute_matches(rows, items)
-    clean = decontaminate.without_contaminated(documents(rows), table)
+    clean = decontaminate.without_contaminated(documents(rows), table, block_bytes=block_bytes)
     assert clean.columns == ["doc_id", "text", "_key", "first"]
     dirty = {r[0] for r in brute_matches(rows, items)}
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in rows} - dirty
