@@ -192,13 +192,14 @@ def with_matches(
 
 
 def _finder(search: Search):
+    """A function of the text. Called not deterministic, as filters on its result would search again."""
     hashes = WordHashes()
 
     @F.udf(MATCHES, useArrow=True)
     def find(text):
         return search.matches(text, hashes)
 
-    return find
+    return find.asNondeterministic()
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", **options) -> DataFrame:
