@@ -193,6 +193,11 @@ def test_archive_of_nothing(spark):
     assert warc.round_trip(pages).count() == 0
 
 
+def test_schemes_of_stores():
+    assert warc.store_uri("s3a://bucket/s3a:x") == "s3://bucket/s3a:x"
+    assert warc.store_uri("file:/tmp/x") == "file:/tmp/x"
+
+
 def test_long_records_and_damage(tmp_path):
     data = warc.record_bytes(1, "u", random.Random(1).randbytes(17_000_000), None, False)
     member = warc.gzip_member(data)

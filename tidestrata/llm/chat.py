@@ -230,7 +230,7 @@ def _merged(route: Column, base: Column) -> Column:
     empty = F.array().cast("array<struct<start: bigint, stop: bigint>>")
 
     def add(done, r):
-        here, tail = span(r), F.element_at(done, -1)
+        here = span(r)
         touches = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] == here["start"])
         grown = F.concat(
             F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))),

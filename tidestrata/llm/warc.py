@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
@@ -169,11 +170,16 @@ class Window:
         self.start = place
 
 
+def store_uri(uri: str) -> str:
+    """A path as Spark names it, for pyarrow, which knows one scheme for S3."""
+    return re.sub("^s3[an]:", "s3:", uri)
+
+
 def owned_members(uri: str, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
     """(position, content) of the records that start in [start, stop) of a file."""
     from pyarrow import fs
 
-    store, name = fs.FileSystem.from_uri(uri)
+    store, name = fs.FileSystem.from_uri(store_uri(uri))
     with store.open_input_file(name) as file:
         window, place = Window(file, start), start
         while place < stop:
