@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidestrata.llm import decontaminate, hash_index, packing, simhash, toxicity
+from tidestrata.llm import decontaminate, hash_index, near_copies, packing, toxicity
 from tidestrata.llm.common import stored
 from tidestrata.llm.queries import table, vocabulary
 
@@ -24,8 +24,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by near fingerprints, the one with the smallest id."""
-    return simhash.without_near_duplicates(docs)
+    """Of documents linked by sharing at least 4 of 5 of their 5-word shingles, the one with the smallest id."""
+    return near_copies.without_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

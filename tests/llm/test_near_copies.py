@@ -1,0 +1,76 @@
+"""Near copies against all pairs of texts compared by their shingles."""
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tidestrata.llm import hash_index, near_copies, queries
+
+
+def plain_shingles(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_groups(rows):
+    """The smallest member of each row's group; rows are (id, text)."""
+    rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    sets, group = [plain_shingles(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            low, high = sorted((len(sets[i]), len(sets[j])))
+            if 5 * low >= 4 * high and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    return {row: rows[g] for row, g in zip(rows, group)}
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = "new%d" % rng.randrange(10**6)
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("tile, spare", [(7, 0), (7, 4), (1000, 0), (1000, 4)])
+def test_groups_equal_all_pairs(spark, tile, spare):
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(400)]
+    rows = []
+    for size in (30, 60, 200, 600):
+        text = " ".join(rng.choices(words, k=size))
+        for edits in (0, 1, 1, 2, 3, 5, 8, 12, 20):
+            rows.append((len(rows), edited(rng, text, edits)))
+    text = " ".join(rng.choices(words, k=100))
+    rows += [(len(rows) + i, edited(rng, text, 2)) for i in range(40)]
+    rows += [(900, None), (901, ""), (None, " "), (902, "one"), (903, "One"), (902, "one"), (904, "one two")]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id bigint, text string, size int")
+    found = near_copies.without_near_copies(docs, tile=tile, spare=spare, radius=24)
+    assert found.columns == docs.columns
+    groups = plain_groups(rows)
+    kept = [r for r in rows if groups[r][0] == r[0]]
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(kept, key=str)
+    assert near_copies.near_copies(docs.limit(0)).count() == 0
+
+
+def test_stage_removes_near_copies(spark):
+    """Edited copies of 1,000 documents, most of whose fingerprints differ in more than 2 bits."""
+    folder = "/root/testdata/sf0.01"
+    docs = hash_index.without_exact_duplicates(queries.table(spark, folder, "documents").select("doc_id", "text"))
+    rng, rows = random.Random(1), [tuple(r) for r in docs.collect()]
+    rows += [(100_000 + i, edited(rng, t, len(t.split()) // 100)) for i, t in rows[::10] if len(t.split()) >= 100]
+    groups = plain_groups(rows)
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), folder)
+    expected = {r[0] for r in rows if groups[r] == r}
+    assert len(rows) - len(expected) > 20 and {r.doc_id for r in kept.collect()} == expected
+
+
+def test_bounds_miss_nothing():
+    rng = random.Random(3)
+    for _ in range(300):
+        a = np.unique(np.array([rng.getrandbits(64) for _ in range(rng.choice([1, 9, 300]))], np.uint64))
+        b = np.unique(np.append(a[rng.randrange(len(a)) :], [np.uint64(rng.getrandbits(64)) for _ in range(5)]))
+        bits = (int.from_bytes(near_copies.sketch(a)) ^ int.from_bytes(near_copies.sketch(b))).bit_count()
+        assert bits <= len(np.setxor1d(a, b))

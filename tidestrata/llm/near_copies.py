@@ -1,0 +1,283 @@
+"""Near copies: SimHash proposes pairs of texts, the Jaccard similarity of their word shingles decides.
+
+Fingerprints over the distinct shingles are compared in tiles, within a radius wide enough for the
+similarity. Two bounds that miss nothing thin out what the radius lets through: the numbers of
+shingles, which also say which tiles can meet, and a bitmap of parities, in which two texts differ in
+at most as many bits as their shingles do. What is left is verified on the texts, so the radius
+decides what is missed and never what is merged.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidestrata.llm.common import stored, unused
+from tidestrata.llm.components import connected
+from tidestrata.llm.simhash import BITS, BLOCK, SEED
+
+WORDS = 5
+RADIUS = 16
+#: Texts are near copies from this similarity on: shared * NEAR[1] >= all * NEAR[0].
+NEAR = (4, 5)
+SKETCH_BITS = 512
+#: Texts of a tile at most; up to FEW tiles of a size are made smaller than that, but not below LEAST.
+TILE = 32_768
+FEW = 4
+LEAST = 2048
+#: Pairs besides the spanning forest that two tiles pass on, for each text in them.
+SPARE = 4
+#: Rows of a tile that are compared at once.
+ROWS = 32
+NODE = "fp bigint, size bigint, sketch binary"
+
+
+def shingles(data: bytes | None, words: int = WORDS) -> np.ndarray:
+    """The distinct hashed shingles of a UTF-8 text, ascending.
+
+    A-Z are lower-cased and words are runs without ASCII white space. A text of fewer words is one
+    shingle; one without words, or null, has none.
+    """
+    found = (data or b"").lower().split()
+    if not found:
+        return np.empty(0, np.uint64)
+    runs = zip(*(found[i:] for i in range(words))) if len(found) >= words else [found]
+    hashed = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((hashed(b" ".join(run), SEED) for run in runs), np.uint64))
+
+
+def fingerprint(own: np.ndarray) -> int:
+    """The SimHash of distinct shingles, as a signed 64-bit number."""
+    counts = np.zeros((8, 8), np.int64)
+    for start in range(0, len(own), BLOCK):
+        octets = own[start : start + BLOCK].view(np.uint8).reshape(-1, 8)
+        for place in range(8):
+            counts[place] += np.bincount(octets[:, place], minlength=256) @ BITS
+    return int(np.packbits(counts * 2 > len(own), bitorder="little").view("<i8")[0])
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """A bit for each class of hashes: whether ``own`` has an odd number of them."""
+    counts = np.bincount((own >> np.uint64(32)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
+    return np.packbits(counts & 1 == 1).tobytes()
+
+
+def near(shared: int, left: int, right: int) -> bool:
+    """Whether ``left`` and ``right`` shingles with ``shared`` in common are similar enough; none and none are."""
+    return shared * NEAR[1] >= (left + right - shared) * NEAR[0]
+
+
+def profiles(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, digest, fp, size, sketch) of every row."""
+
+    def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for value in batch.column(2):
+                own = shingles(value.as_py())
+                found.append((fingerprint(own), len(own), sketch(own)))
+            columns = zip(*found) if found else [()] * 3
+            kinds = [pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                ["id", "digest", "fp", "size", "sketch"],
+            )
+
+    texts = docs.select(
+        F.col(id).alias("id"), F.xxhash64(text).alias("digest"), F.col(text).cast("binary").alias("text")
+    )
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(profiled, f"id {kind}, digest bigint, {NODE}")
+
+
+class Tile:
+    """Texts of about one size, as arrays."""
+
+    def __init__(self, items: pa.StructArray):
+        columns = {name: items.field(name) for name in ("node", "label", "fp", "size")}
+        self.node, self.label, self.fp, self.size = (c.to_numpy(zero_copy_only=False) for c in columns.values())
+        self.sketch = np.frombuffer(b"".join(items.field("sketch").to_pylist()), np.uint64)
+        self.sketch = self.sketch.reshape(len(self.node), -1)
+
+
+def candidates(left: Tile, right: Tile, same: bool, radius: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For places in ``left`` the places in ``right`` that may be near copies and are labelled otherwise."""
+    for start in range(0, len(left.fp), ROWS):
+        first = start if same else 0
+        differing = (left.fp[start : start + ROWS, None] ^ right.fp[None, first:]).view(np.uint64)
+        i, j = np.nonzero(np.bitwise_count(differing) <= radius)
+        i, j = i + start, j + first
+        fits = left.label[i] != right.label[j]
+        if same:
+            fits &= i < j
+        a, b = left.size[i], right.size[j]
+        fits &= np.minimum(a, b) * NEAR[1] >= np.maximum(a, b) * NEAR[0]
+        i, j = i[fits], j[fits]
+        bits = np.bitwise_count(left.sketch[i] ^ right.sketch[j]).sum(1, dtype=np.int64)
+        # Shingles in one text alone are at most this share of both texts' shingles.
+        fits = bits * sum(NEAR) <= (left.size[i] + right.size[j]) * (NEAR[1] - NEAR[0])
+        i, j = i[fits], j[fits]
+        rows, starts = np.unique(i, return_index=True)
+        yield from zip(rows.tolist(), np.split(j, starts[1:]))
+
+
+def sparse_links(left: Tile, right: Tile, same: bool, radius: int, spare: int) -> tuple[list, bool]:
+    """A spanning forest of the candidates and, if they are few, the others; whether that is all of them."""
+    offset = 0 if same else len(left.node)
+    part = np.arange(offset + len(right.node))
+    room, whole, links, others = spare * len(part), True, [], []
+    for i, js in candidates(left, right, same, radius):
+        apart = js[part[js + offset] != part[i]]
+        parts, firsts = np.unique(part[apart + offset], return_index=True)
+        chosen = apart[firsts]
+        if len(parts):
+            part[np.isin(part, parts)] = part[i]
+        links.extend((left.node[i], right.node[j]) for j in chosen)
+        rest = np.setdiff1d(js, chosen)
+        whole = whole and len(others) + len(rest) <= room
+        if whole:
+            others.extend((left.node[i], right.node[j]) for j in rest)
+    return (links + others if whole else links), whole
+
+
+def with_tiles(nodes: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The texts by tile, and the number of tiles of each level of sizes.
+
+    Similar texts lie in one level or in neighbouring ones; texts without words have a level apart.
+    """
+    level = F.when(F.col("size") == 0, -2).otherwise(F.floor(F.log(NEAR[1] / NEAR[0], F.col("size")))).cast("int")
+    levelled = nodes.withColumn("level", level)
+    count = F.count(F.lit(1))
+    few = F.least(F.lit(FEW), F.ceil(count / min(tile, LEAST)))
+    # A level for every quarter more shingles: few, whatever the input.
+    levels = levelled.groupBy("level").agg(F.greatest(F.ceil(count / tile), few).cast("int").alias("blocks"))
+    tiles = (
+        levelled.join(F.broadcast(levels), "level")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .groupBy("level", "block")
+        .agg(F.collect_list(F.struct("node", "label", "fp", "size", "sketch")).alias("items"))
+    )
+    return tiles, levels
+
+
+def tile_pairs(levels: DataFrame) -> DataFrame:
+    """(level, block, level_b, block_b) of all tiles that can hold similar texts."""
+    other = levels.select(F.col("level").alias("level_b"), F.col("blocks").alias("blocks_b"))
+    return (
+        levels.withColumn("level_b", F.explode(F.array(F.col("level"), F.col("level") + 1)))
+        .join(F.broadcast(other), "level_b")
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("block_b", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
+        .where((F.col("level") < F.col("level_b")) | (F.col("block") <= F.col("block_b")))
+        .select("level", "block", "level_b", "block_b")
+    )
+
+
+PLACE = ["level", "block", "level_b", "block_b"]
+
+
+def compared(pairs: DataFrame, tiles: DataFrame, radius: int, spare: int | None) -> DataFrame:
+    """Links (a, b) of each pair of tiles; one with null ends where there are more than ``spare`` allows.
+
+    ``spare`` None gives all of them.
+    """
+    right = tiles.select(F.col("level").alias("level_b"), F.col("block").alias("block_b"), F.col("items").alias("items_b"))
+    both = pairs.join(tiles, ["level", "block"]).join(right, ["level_b", "block_b"]).select(*PLACE, "items", "items_b")
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [*PLACE, "a", "b"]
+        kinds = [pa.int32()] * 4 + [pa.int64()] * 2
+
+        def batch_of(place, found):
+            ends = zip(*found) if found else ((), ())
+            columns = [[p] * len(found) for p in place] + [list(e) for e in ends]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                place = [batch.column(i)[row].as_py() for i in range(4)]
+                left, right = (Tile(batch.column(i)[row].values) for i in (4, 5))
+                same = place[:2] == place[2:]
+                if spare is None:
+                    for i, js in candidates(left, right, same, radius):
+                        yield batch_of(place, [(left.node[i], right.node[j]) for j in js])
+                else:
+                    found, whole = sparse_links(left, right, same, radius, spare)
+                    yield batch_of(place, found + [(None, None)] * (not whole))
+
+    return both.mapInArrow(links, "level int, block int, level_b int, block_b int, a bigint, b bigint")
+
+
+def verified(links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``links`` whose texts are similar enough, by their shingles."""
+
+    @F.udf("boolean", useArrow=True)
+    def similar(left, right):
+        one, two = shingles(left), shingles(right)
+        return near(len(np.intersect1d(one, two, assume_unique=True)), len(one), len(two))
+
+    links = links.where(F.col("a").isNotNull()).select("a", "b").distinct()
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    own = stored(texts.join(ends.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "near_texts")
+    one = own.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    two = own.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    both = links.join(one.hint("merge"), "a").join(two.hint("merge"), "b")
+    return stored(both.where(similar("text_a", "text_b")).select("a", "b"), "near_links")
+
+
+def near_copies(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS, tile: int = TILE, spare: int = SPARE
+) -> DataFrame:
+    """(id, digest, first_id, first_digest) of every row of ``docs``.
+
+    Texts are linked if their fingerprints differ in at most ``radius`` bits and at least 4 of 5 of
+    their distinct shingles are shared; ``first_id`` and ``first_digest`` name the smallest member (by
+    id, then digest of the text) of the group a row is linked to directly or through others. Equal
+    texts and texts without words are near copies of each other; null ids come last. Two tiles of
+    many copies pass on a spanning forest first. What is verified of it joins texts, and only links
+    between texts that are not joined by then are passed on in full.
+    """
+    rows = stored(profiles(docs, id, text), "profiles")
+    member = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
+    nodes = rows.groupBy(F.col("digest").alias("node")).agg(
+        F.min(member).alias("first"), *(F.first(c).alias(c) for c in ("fp", "size", "sketch"))
+    )
+    nodes = stored(nodes, "nodes")
+    texts = docs.select(F.xxhash64(text).alias("node"), F.col(text).cast("binary").alias("text"))
+
+    tiles, levels = with_tiles(nodes.withColumn("label", F.col("node")), tile)
+    links = stored(compared(tile_pairs(levels), stored(tiles, "tiles"), radius, spare), "links")
+    found = verified(links, texts)
+    labels = connected(found).withColumnRenamed("component", "label")
+    crowded = links.where(F.col("a").isNull()).select(*PLACE)
+    if not crowded.isEmpty():
+        again = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        rest = stored(compared(crowded, stored(with_tiles(again, tile)[0], "tiles"), radius, None), "links")
+        labels = connected(found.unionByName(verified(rest, texts))).withColumnRenamed("component", "label")
+
+    firsts = nodes.select("node", "first").join(labels, "node", "left")
+    firsts = firsts.withColumn("label", F.coalesce("label", "node"))
+    heads = firsts.groupBy("label").agg(F.min("first").alias("head"))
+    heads = firsts.join(heads, "label").select(F.col("node").alias("digest"), "head")
+    return rows.select("id", "digest").join(heads, "digest").select(
+        "id", "digest", F.col("head.id").alias("first_id"), F.col("head.digest").alias("first_digest")
+    )
+
+
+def without_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are the first of their group, all columns as they were.
+
+    Rows repeated in id and text stay together; remove exact copies before.
+    """
+    groups = near_copies(docs, id, text, **options)
+    later_id, later_digest = unused(docs, "_later_id"), unused(docs, "_later_digest")
+    later = groups.where(
+        ~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest")))
+    ).select(F.col("id").alias(later_id), F.col("digest").alias(later_digest))
+    here = F.col(id).eqNullSafe(F.col(later_id)) & (F.xxhash64(F.col(text)) == F.col(later_digest))
+    return docs.join(later, here, "left_anti")
