@@ -99,7 +99,7 @@ def op5_line_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_unit_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return unit_dedup.without_repeated_units(docs)
+    return unit_dedup.without_repeated_units(docs, min_words=1)
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
