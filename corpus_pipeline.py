@@ -35,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents and their places in training sequences."""
-    return packing.packed(packing.token_pieces(docs, vocabulary()))
+    return packing.packed(packing.token_pieces(docs, vocabulary(), special=True))
 
 
 STAGES = [

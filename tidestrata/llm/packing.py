@@ -23,6 +23,8 @@ from tidestrata.llm.common import stored
 CAPACITY = 2048
 END = 0
 OPEN = 1024
+#: Strings that the vocabulary's JSON file makes one id wherever they stand in a text.
+SPECIAL = {"<|endoftext|>": 50256}
 #: Pieces a task packs. A task's last sequences may stay part empty, so tasks are not too small.
 TASK_PIECES = 200_000
 #: Pieces that a task looks at together; the longest of them are placed first.
@@ -39,23 +41,23 @@ class BytePairEncoder:
     The rank file's library gives the ids of the JSON file of the same name several times as fast,
     but its splitting pattern gives up on runs of some hundred thousand white spaces. Texts with
     such runs go to the library of the JSON file, which is loaded when the first is met. Strings of
-    special tokens are ordinary text to both.
+    special tokens are ordinary text to both, or with ``special`` their ids, as in the JSON file.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.path, self.plain = path, None
+        self.path, self.special, self.plain = path, SPECIAL if special else {}, None
         self.fast = tiktoken.Encoding(
-            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special
         )
 
     def encode(self, text: str) -> np.ndarray:
         try:
-            return self.fast.encode_to_numpy(text)
+            return self.fast.encode_to_numpy(text, allowed_special="all")
         except ValueError:
             return np.array(self._plain().encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -64,7 +66,7 @@ class BytePairEncoder:
 
         if self.plain is None:
             self.plain = Tokenizer.from_file(self.path.removesuffix(".tiktoken") + ".json")
-            self.plain.encode_special_tokens = True
+            self.plain.encode_special_tokens = not self.special
         return self.plain
 
     def decode(self, ids) -> str:
@@ -79,16 +81,22 @@ def cut_places(total: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY
+    docs: DataFrame,
+    vocabulary: str,
+    id: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    special: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document, ended by id 0.
 
     ``vocabulary`` is a rank file with the JSON file of the same vocabulary beside it. A null text
     counts as empty, so it is the end id alone; a document of at most ``capacity`` ids is one piece.
+    ``special`` takes strings of special tokens in a text for their ids, as the JSON file does unasked.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = BytePairEncoder(vocabulary)
+        encoder = BytePairEncoder(vocabulary, special)
         names = ["piece", "start", "length", "ids_crc32"]
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:

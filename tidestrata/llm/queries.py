@@ -103,7 +103,8 @@ def op6_unit_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed(packing.token_pieces(table(spark, folder, "documents"), vocabulary()))
+    docs = table(spark, folder, "documents")
+    return packing.packed(packing.token_pieces(docs, vocabulary(), special=True))
 
 
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
