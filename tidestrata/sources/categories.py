@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidestrata.functions import region_of_path
 from tidestrata.schemas import CATEGORY_ITEM, LANDING_STAMP
-from tidestrata.sources.statistics import JSON_FILES, document_options, reader
+from tidestrata.sources.statistics import JSON_FILES, JSON_NAME, document_options, known_files, reader
 
 BAD = "_unparsed"
 
@@ -66,6 +66,8 @@ def category_documents(
     is found by the next run. A field the document lacks is null.
     """
     settings = {"pathGlobFilter": JSON_FILES, "recursiveFileLookup": True} | document_options(layout)
+    if not stream:
+        known_files(spark, path, JSON_NAME, region=False)
     item = item or found_item(spark, path, **(settings | options))
     # "items" is declared next to the item's own fields, for the document that is one item.
     document = StructType(

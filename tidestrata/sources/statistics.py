@@ -24,11 +24,15 @@ from tidestrata.schemas import API_DOCUMENT, CSV_SCHEMA
 LAYOUTS = ("documents", "lines")
 
 # Uploaded documents end in .json; Spark's text sink, which lands payloads, writes .txt.
-JSON_FILES = "*.{json,txt,JSON,json.gz,txt.gz,json.bz2,txt.bz2}"
+JSON_FILES = "*.{[jJ][sS][oO][nN],[tT][xX][tT]}{,.gz,.bz2,.deflate}"
+# Spark picks the codec by the last extension, in lower case.
+JSON_NAME = re.compile(r"\.(?i:json|txt)(\.(gz|bz2|deflate))?$")
+CSV_NAME = re.compile(r"\.(?i:csv)(\.(gz|bz2|deflate))?$")
 
 # CSV uploads lie beside the hour folders of landed documents, so each reader names its own level.
 CSV_FOLDERS = "region=*/*.{csv,CSV,csv.gz,csv.bz2}"
 API_FOLDERS = "region=*/date=*/hour=*"
+HOUR_FILE = re.compile(r"region=[^/]*/date=[^/]*/hour=[^/]*/[^/]*")
 
 
 def reader(spark: SparkSession, schema: StructType, stream: bool, **options):
@@ -46,10 +50,55 @@ def or_empty(
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         # Listing the root raises if it is not there, and reads nothing.
-        spark.read.format("binaryFile").load(root).schema
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).schema
         return spark.createDataFrame([], schema)
 
 
+def as_pattern(file: str) -> str:
+    """The URI of a file as readers take paths, which are patterns."""
+    return re.sub(r"([\\{}\[\]*?^])", r"\\\1", unquote(file))
+
+
+def partitions_of(root: str, file: str) -> tuple[str, ...]:
+    """Names of the partition folders of a file under ``root``, as Spark finds them: the innermost run."""
+    folders = file_below(root, file).split("/")[:-1]
+    names = []
+    for folder in reversed(folders):
+        name, equals, _ = folder.partition("=")
+        if equals and name:
+            names.append(name)
+        elif names:
+            break
+    return tuple(reversed(names))
+
+
+def file_below(root: str, file: str) -> str:
+    plain = [re.sub(r"^[\w.+-]+:/*", "/", path) for path in (root, unquote(file))]
+    return plain[1].removeprefix(plain[0].rstrip("/") + "/")
+
+
+def known_files(spark: SparkSession, root: str, wanted: re.Pattern, region: bool = True) -> tuple[str, list[str]]:
+    """The qualified ``root`` and all files named like ``wanted`` under it, at any depth.
+
+    A file that neither the CSV nor the document readers take by its name, or with ``region`` one
+    outside any region folder, is an error that names it. Hidden files (``_`` or ``.`` first) do not count.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    folder = unquote(str(folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).inputFiles()
+    found, unread = [], []
+    for file in sorted(files):
+        name = unquote(file)
+        if not (CSV_NAME.search(name) or JSON_NAME.search(name)):
+            unread.append(name)
+        elif wanted.search(name):
+            placed = not region or "region" in partitions_of(folder, file)
+            (found if placed else unread).append(file)
+    if unread:
+        raise ValueError(f"{len(unread)} files under {root} that no reader takes: {', '.join(unread[:20])}")
+    return folder, found
+
+
 def document_options(layout: str) -> dict[str, object]:
     if layout not in LAYOUTS:
         raise ValueError(f"layout is one of {LAYOUTS}, not {layout!r}")
@@ -74,7 +123,10 @@ def csv_statistics(
     stream: bool = False,
     **options,
 ) -> DataFrame:
-    """CSV rows under ``region=xx/`` as text columns.
+    """CSV rows under ``region=xx/``, at any depth, as text columns.
+
+    Files that no reader takes are an error (``known_files``). Given other ``files``, and in a stream,
+    only what that pattern meets is read.
 
     Columns go by the header of each file, in whatever order; one that a file lacks is null, further
     ones are left out. A stream takes files one by one and cannot sort them by header, so there
@@ -86,21 +138,32 @@ def csv_statistics(
     settings |= {"header": True, "enforceSchema": False}
     if stream:
         return reader(spark, CSV_SCHEMA, stream, **settings).csv(f"{path}/{files}")
-    lines = or_empty(
-        spark,
-        StructType([StructField("value", StringType())]),
-        path,
-        lambda: spark.read.option("basePath", path).text(f"{path}/{files}"),
-    )
-    frames = [
-        named_columns(reader(spark, schema, False, **settings).csv(list(group)))
-        for schema, group in header_groups(lines)
-    ]
+    if files == CSV_FOLDERS:
+        root, found = known_files(spark, path, CSV_NAME)
+        if not found:
+            return spark.createDataFrame([], CSV_SCHEMA)
+        lines = spark.read.option("recursiveFileLookup", True).text([as_pattern(file) for file in found])
+    else:
+        root = path
+        lines = or_empty(
+            spark,
+            StructType([StructField("value", StringType())]),
+            path,
+            lambda: spark.read.option("basePath", path).text(f"{path}/{files}"),
+        )
+    frames = []
+    for schema, group in header_groups(lines):
+        # Files at different depths have different partition columns, which one read cannot mix.
+        depths = defaultdict(list)
+        for file in group:
+            depths[partitions_of(root, file)].append(as_pattern(file))
+        for level in depths.values():
+            frames.append(named_columns(reader(spark, schema, False, **settings).csv(level)))
     return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], CSV_SCHEMA)
 
 
 def header_groups(lines: DataFrame) -> list[tuple[StructType, list[str]]]:
-    """The files of ``lines`` by header, each with the schema that the header names.
+    """The files (URIs) of ``lines`` by header, each with the schema that the header names.
 
     One row per file reaches the driver, which plans the reading of files anyway.
     """
@@ -115,8 +178,7 @@ def header_groups(lines: DataFrame) -> list[tuple[StructType, list[str]]]:
     heads = placed.groupBy("file").agg(F.min_by("value", F.struct("block", "line")).alias("head"))
     groups = defaultdict(list)
     for row in heads.orderBy("file").collect():
-        # A file's path comes as a URI; readers take it as a pattern.
-        groups[row["head"]].append(re.sub(r"([\\{}\[\]*?^])", r"\\\1", unquote(row["file"])))
+        groups[row["head"]].append(row["file"])
     found = []
     for head, group in groups.items():
         names = next(csv.reader([head.removeprefix("\ufeff")]))
@@ -150,8 +212,22 @@ def api_statistics(
     stream: bool = False,
     **options,
 ) -> DataFrame:
-    """Video items of API documents under ``region=/date=/hour=``, flattened."""
+    """Video items of API documents under ``region=/date=/hour=``, flattened.
+
+    Documents at other depths are read as well, and files that no reader takes are an error
+    (``known_files``). Given other ``folders``, and in a stream, only those folders are read.
+    """
     settings = {"pathGlobFilter": JSON_FILES, "basePath": path} | document_options(layout)
     source = reader(spark, API_DOCUMENT, stream, **(settings | options))
     documents = or_empty(spark, API_DOCUMENT, path, lambda: source.json(f"{path}/{folders}"))
+    documents = documents.select("items", "region")
+    if folders == API_FOLDERS and not stream:
+        depths = defaultdict(list)
+        root, found = known_files(spark, path, JSON_NAME)
+        for file in found:
+            if not HOUR_FILE.fullmatch(file_below(root, file)):
+                depths[partitions_of(root, file)].append(as_pattern(file))
+        for level in depths.values():
+            more = reader(spark, API_DOCUMENT, False, **(settings | options)).json(level)
+            documents = documents.unionByName(more.select("items", "region"))
     return api_items(documents, "region")

@@ -128,6 +128,7 @@ ORACLES: dict[str, str] = {
     "csv_source": f"""WITH {FACTS}
       SELECT * REPLACE ('says "' || title || '"' || chr(10) || 'and, by ' || channel_title
         AS description) FROM facts""",
+    "source_files_complete": f"WITH {FACTS} SELECT * FROM facts",
     "csv_header_order": f"""WITH {FACTS}
       SELECT * REPLACE (CASE WHEN length(title) % 2 = 0 THEN dislikes END AS dislikes) FROM facts""",
     "typed_projection_numeric": f"""WITH {FACTS}
