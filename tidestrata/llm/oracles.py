@@ -110,6 +110,35 @@ SELECT doc_id, item_id, CAST(shared AS INTEGER) AS shared, CAST(shingles AS INTE
 FROM met JOIN sizes USING (i) WHERE shared / shingles >= 0.8::DOUBLE
 """
 
+OP11 = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (
+  SELECT r, c, substr(h, 2 * c + 1, 2 * (500 + 199)) AS part
+  FROM (SELECT r, h, unnest(range(0, greatest(length(h) // 2 - 199, 0), 500)) AS c FROM docs)
+), starts AS (
+  SELECT r, c + s AS s, md5_number(substr(part, 2 * s + 1, 400)) AS string
+  FROM (SELECT *, unnest(range(length(part) // 2 - 199)) AS s FROM chunks)
+), twice AS (SELECT string FROM starts GROUP BY string HAVING count(*) > 1),
+hits AS (SELECT r, s FROM starts SEMI JOIN twice USING (string)),
+opened AS (
+  SELECT r, s, coalesce(s - lag(s) OVER w > 200, true) AS fresh FROM hits WINDOW w AS (PARTITION BY r ORDER BY s)
+), runs AS (
+  SELECT r, s, count(*) FILTER (fresh) OVER (PARTITION BY r ORDER BY s) AS run FROM opened
+), spans AS (SELECT r, run, min(s) AS a, max(s) + 200 AS b FROM runs GROUP BY r, run),
+gaps AS (
+  SELECT r, a, b, coalesce(lag(b) OVER w, 0) AS before, lead(a) OVER w IS NULL AS final
+  FROM spans WINDOW w AS (PARTITION BY r ORDER BY a)
+), kept AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+      || max(substr(h, 2 * b + 1)) FILTER (final) AS h
+  FROM gaps JOIN docs USING (r) GROUP BY r
+)
+SELECT doc_id, length(docs.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, docs.h))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
 ORACLES = {
     "op2_url_rules": OP2,
     "op3_chat": OP3,
@@ -117,4 +146,5 @@ ORACLES = {
     "op8_warc": OP8,
     "op9_hash_index": OP9,
     "op10_decontaminate": OP10,
+    "op11_suffix_index": OP11,
 }

@@ -12,6 +12,7 @@ from tidestrata.llm import (
     line_spread,
     packing,
     simhash,
+    suffix_index,
     toxicity,
     unit_dedup,
     url_rules,
@@ -123,6 +124,18 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_suffix_index(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_index.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -136,5 +149,6 @@ QUERIES = {
         op8_warc,
         op9_hash_index,
         op10_decontaminate,
+        op11_suffix_index,
     )
 }
