@@ -139,6 +139,40 @@ SELECT doc_id, length(docs.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
 FROM docs LEFT JOIN kept USING (r)
 """
 
+OP12 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\n\x0B\f\r]')) AS piece
+  FROM documents
+), worded AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k)
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+split AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, k, a, j, array_to_string(w[1:j], ' ') AS opening, array_to_string(w[j + 1:k], ' ') AS ending
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM split)
+), scores AS (
+  SELECT c.lang, c.phrase, c.k, a, min(((2000000::HUGEINT * a) // (x.f + y.f), j, x.f, y.f)) AS cut
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = opening JOIN f y ON y.lang = c.lang AND y.phrase = ending
+  GROUP BY ALL
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM split, (VALUES (2), (3)) AS shorter(m) WHERE m < k)
+  GROUP BY ALL
+), kept AS (
+  SELECT s.lang, s.phrase, a, cut FROM scores s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE around IS NULL OR 100::HUGEINT * around < 80 * a::HUGEINT
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cut[1] DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, cut[3] AS l, cut[4] AS r, n, cut[1]::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op2_url_rules": OP2,
     "op3_chat": OP3,
@@ -147,4 +181,5 @@ ORACLES = {
     "op9_hash_index": OP9,
     "op10_decontaminate": OP10,
     "op11_suffix_index": OP11,
+    "op12_collocations": OP12,
 }

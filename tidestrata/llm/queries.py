@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidestrata.llm import (
     chat,
+    collocations,
     decontaminate,
     hash_index,
     line_spread,
@@ -136,6 +137,10 @@ def op11_suffix_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -150,5 +155,6 @@ QUERIES = {
         op9_hash_index,
         op10_decontaminate,
         op11_suffix_index,
+        op12_collocations,
     )
 }
