@@ -1,0 +1,169 @@
+"""Repair of conversations against trying out all edits."""
+
+import hashlib
+import random
+import re
+import zlib
+from functools import cache
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidestrata.llm import queries, repair
+from workload.compare import TESTDATA
+
+SPACES = repair.SPACES
+PATTERN = re.compile(r"(s?(ua)+)?")
+
+
+def plain_turns(rows):
+    """(turn, role, text) of each conversation after damage, in order."""
+    found = {}
+    for conv, turn, role, text in rows:
+        found.setdefault(conv, [])
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(name.encode()) % 20
+        role, text = (" " if x is None else x for x in (role, text))
+        if kind == 0:
+            continue
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub(r"[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        found[conv] += [(turn, role, text)] * (2 if kind == 3 else 1)
+    for own in found.values():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    return found
+
+
+def faults(rows):
+    seen, result = set(), []
+    for _, role, text in rows:
+        trimmed = text.rstrip(SPACES)
+        if not text.strip(SPACES):
+            result.append(1)
+        elif (role, text) in seen:
+            result.append(2)
+        else:
+            result.append(0 if trimmed[-1] in ".!?" else 3)
+        seen.add((role, text))
+    return result
+
+
+def cheapest(initials, fault):
+    """(cost, audit, (row or None, new role or None) in order), trying edits from the last turn on."""
+
+    @cache
+    def best(i, state, inserted):
+        if i == len(initials) and state in "0d":
+            options = [(0, "", ())]
+        else:
+            options = []
+        due = "a" if state == "w" else "u"
+        after = {"a": "d", "u": "w"}[due]
+        role = {"a": "assistant", "u": "user"}[due]
+        if inserted < 3:
+            cost, audit, rows = best(i, after, inserted + 1)
+            options.append((cost + 5, "I" + audit, ((None, role), *rows)))
+        if i < len(initials):
+            cost, audit, rows = best(i + 1, state, 0)
+            options.append((cost + 2, "D" + audit, rows))
+            if fault[i] not in (1, 2):
+                extra = 5 if fault[i] == 3 else 0
+                if initials[i] == due or (initials[i] == "s" and state == "0"):
+                    cost, audit, rows = best(i + 1, after if initials[i] == due else "s", 0)
+                    options.append((cost + extra, "K" + audit, ((i, None), *rows)))
+                cost, audit, rows = best(i + 1, after, 0)
+                options.append((cost + extra + 1, "R" + audit, ((i, role), *rows)))
+        return min(options) if options else (10**9, "", ())
+
+    return best(0, "0", 0)
+
+
+def brute(rows):
+    result = []
+    for conv, own in plain_turns(rows).items():
+        fault, initials = faults(own), [r[1][:1] for r in own]
+        turns = [r[0] for r in own if r[0] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit, edited = cheapest(tuple(initials), tuple(fault))
+        lines = [
+            f"{role or own[i][1]}:{own[i][2]}" if i is not None else f"{role}:" for i, role in edited
+        ]
+        assert PATTERN.fullmatch("".join(x[:1] for x in lines))
+        sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        result.append((conv, gaps, *(fault.count(f) for f in (1, 2, 3)), illegal, cost, audit, sha))
+    return sorted(result, key=str)
+
+
+COLUMNS = "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256".split()
+
+
+def found(frame):
+    return sorted((tuple(r) for r in frame.select(*COLUMNS).collect()), key=str)
+
+
+def corpus(seed, n):
+    draw = random.Random(seed)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "User", "", None, "sage"]
+    texts = ["Yes.", "No!", "Why?", "well", " ", "", None, "é.", "ends.\n", "x" * 3000 + ".", "\x0b.", " "]
+    rows = []
+    for conv in range(n):
+        turn = draw.choice([-3, 0, 1, 10])
+        for k in range(draw.randint(1, 12)):
+            turn += draw.choice([1, 1, 1, 0, 2])
+            text = draw.choice(texts) if draw.random() < 0.3 else f"text {draw.randint(0, 30)}" + draw.choice(("", ".", "."))
+            role = draw.choice(roles) if draw.random() < 0.4 else ("user", "assistant")[k % 2]
+            rows.append((conv, draw.choice([turn] * 9 + [None]), role, text))
+    # Conversations whose only turns go: their numbers are found, not made up.
+    gone = [(c, 0, "user", "Hm.") for c in range(5000, 5200) if zlib.crc32(f"{c}:0".encode()) % 20 == 0]
+    return rows + gone + rows[:5] + [(None, None, None, None), (None, 3, "user", "Hi."), (None, 3, "user", "Hi.")]
+
+
+def test_report_equals_all_edits_tried_out(spark, monkeypatch):
+    monkeypatch.setattr(repair, "CHUNK", 4)
+    monkeypatch.setattr(repair, "GROUP", 50)
+    rows = corpus(6, 250)
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns(
+        {"key": F.lit(1), "place": F.lit("x"), "n": F.lit(2), "letter": F.lit("z")}
+    )
+    assert found(repair.repair_report(turns)) == brute(rows)
+
+
+def test_turns_and_edits_come_as_rows(spark):
+    turns = [("c", 1, "assistant", "Hello."), ("c", 2, "user", "Well?"), ("c", 3, "user", "Well?")]
+    told, rows = repair.repaired(spark.createDataFrame(turns, "key string, turn long, role string, text string"))
+    assert [(r.duplicate, r.cost, r.audit) for r in told.collect()] == [(1, 4, "RRD")]
+    assert [(r.place, r.edit, r.role, r.text) for r in rows.sort("place", "part").collect()] == [
+        (1, "R", "user", "Hello."), (2, "R", "assistant", "Well?")
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ways_of_long_and_short_conversations(seed):
+    """Ranks and pointers of conversations of many lengths at once, against the plain search."""
+    draw = np.random.default_rng(seed)
+    size = np.r_[draw.integers(1, 9, 200), 130, 1]
+    initial, fault = draw.integers(0, 4, size.sum()), draw.choice(4, size.sum(), p=[0.6, 0.1, 0.1, 0.2])
+    cost, ways = repair.least_ways(initial, fault, size)
+    at = 0
+    for n, c, way in zip(size, cost, ways):
+        own = slice(at, at + n)
+        plain = cheapest(tuple("suax"[x] for x in initial[own]), tuple(fault[own].tolist()))
+        assert (c, "".join(repair.EDITS[e] for e in way[:, 1])) == plain[:2]
+        at += n
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert repair.repair_report(empty).count() == 0
+
+
+def test_query_equals_all_edits_tried_out(spark):
+    folder = f"{TESTDATA}/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert found(queries.op13_repair(spark, folder)) == brute(rows)

@@ -12,6 +12,7 @@ from tidestrata.llm import (
     hash_index,
     line_spread,
     packing,
+    repair,
     simhash,
     suffix_index,
     toxicity,
@@ -141,6 +142,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents").select("lang", "text"))
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_report(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -156,5 +161,6 @@ QUERIES = {
         op10_decontaminate,
         op11_suffix_index,
         op12_collocations,
+        op13_repair,
     )
 }
