@@ -47,6 +47,8 @@ class PipelineConfig:
     that these files can be split as well.
 
     ``category_schema`` fixes the fields of category items; without it they are found in the files.
+    Input that cannot be read is set aside in ``rejected_table``, beside the cleaned tables.
+
     ``checked_tables`` are the cleaned tables that the gate looks at; None means both.
 
     Cleaned statistics are partitioned by region and, below it, by day: a merge rewrites whole
@@ -70,6 +72,7 @@ class PipelineConfig:
     gold_database: str = "gold"
     statistics_table: str = "clean_statistics"
     reference_table: str = "reference_data"
+    rejected_table: str = "rejected_input"
 
     regions: tuple[str, ...] | None = DEFAULT_REGIONS
     statistics_mode: str = "merge"
@@ -88,5 +91,9 @@ class PipelineConfig:
     def reference(self) -> str:
         return f"{self.silver_database}.{self.reference_table}"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.silver_database}.{self.rejected_table}"
+
     def gold(self, table: str) -> str:
         return f"{self.gold_database}.{table}"

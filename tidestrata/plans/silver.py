@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
-from datetime import datetime
+from collections.abc import Mapping
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidestrata.config import PipelineConfig
+from tidestrata.functions import instant
 from tidestrata.operators.categories import document_report, reference_records
 from tidestrata.operators.cleanse import cleansed, stamped
 from tidestrata.operators.conform import statistics_record
@@ -16,13 +19,17 @@ from tidestrata.operators.counts import clean_measures, observed, raw_measures
 from tidestrata.operators.latest import latest_records
 from tidestrata.sinks import append, merge_latest, overwrite_partitions
 from tidestrata.sources import (
-    api_statistics,
+    accepted,
+    api_input,
     category_documents,
-    csv_statistics,
+    csv_input,
     has_rows,
     keep_regions,
+    refused,
+    refused_documents,
     table,
 )
+from tidestrata.sources.rejected import REASON
 
 log = logging.getLogger(__name__)
 
@@ -34,31 +41,82 @@ def clean_statistics(
     return latest_records(stamped(cleansed(records), job_name, as_of))
 
 
-def raw_statistics(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """All configured raw sources as statistics records, chosen regions only."""
-    sources = []
+def raw_inputs(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
+    """The configured raw sources by kind, with marks on what cannot be read."""
+    inputs = {}
     if cfg.bronze_table:
-        sources.append(table(spark, cfg.bronze_table))
+        inputs["table"] = table(spark, cfg.bronze_table)
     if cfg.csv_path:
-        sources.append(csv_statistics(spark, cfg.csv_path, layout=cfg.csv_layout))
+        inputs["csv"] = csv_input(spark, cfg.csv_path, layout=cfg.csv_layout, regions=cfg.regions)
     if cfg.api_path:
-        sources.append(api_statistics(spark, cfg.api_path, layout=cfg.api_layout))
-    if not sources:
+        inputs["api"] = api_input(spark, cfg.api_path, layout=cfg.api_layout, regions=cfg.regions)
+    if not inputs:
         raise ValueError("name a bronze_table, csv_path or api_path to read")
-    records = [statistics_record(keep_regions(s, cfg.regions), cfg.as_of) for s in sources]
-    return reduce(DataFrame.unionByName, records)
+    return inputs
+
+
+def raw_records(inputs: Mapping[str, DataFrame], cfg: PipelineConfig) -> DataFrame:
+    """The good rows of all sources as statistics records, chosen regions only."""
+    kept = [keep_regions(accepted(frame), cfg.regions) for frame in inputs.values()]
+    return reduce(DataFrame.unionByName, [statistics_record(frame, cfg.as_of) for frame in kept])
+
+
+def run_name(cfg: PipelineConfig) -> str:
+    """What a batch run's rejected input is filed under: its instant."""
+    return (cfg.as_of or datetime.now(timezone.utc)).strftime("run-%Y%m%dT%H%M%S%f")
+
+
+def set_aside(rejected: DataFrame, cfg: PipelineConfig, load: str) -> None:
+    """Write rejected input under the name of its load; a load that comes again replaces its rows."""
+    stamped = rejected.withColumns({"_rejected_at": instant(cfg.as_of), "load": F.lit(load)})
+    overwrite_partitions(stamped, cfg.rejected, ["load"])
+
+
+def load_inputs(
+    inputs: Mapping[str, DataFrame], cfg: PipelineConfig, load: str | None = None
+) -> dict[str, int]:
+    """Clean and write the good rows of marked frames, and set the others aside; gives the run's counts.
+
+    Marked rows are counted on the side by the pass that writes the good ones. Only where there are any
+    is the input read once more, to write them to the table of rejected input.
+    """
+    load = load or run_name(cfg)
+    kept = {name: keep_regions(frame, cfg.regions) for name, frame in inputs.items()}
+    marked = [name for name, frame in kept.items() if REASON in frame.columns]
+    if has_rows(raw_records(kept, cfg)):
+        bad = F.count_if(F.col(REASON).isNotNull()).alias("bad")
+        watched = {name: observed(kept[name], [bad]) for name in marked}
+        counted = kept | {name: frame for name, (frame, _) in watched.items()}
+        counts = write_statistics(raw_records(counted, cfg), cfg)
+        marked = [name for name, (_, watch) in watched.items() if watch.get["bad"]]
+        counts["rows_rejected"] = sum(watch.get["bad"] for _, watch in watched.values())
+    else:
+        log.info("no new statistics")
+        counts = {"rows_read": 0, "rows_kept": 0}
+    rejected = [refused(kept[name], name) for name in marked]
+    if rejected and has_rows(every := reduce(DataFrame.unionByName, rejected)):
+        every, watch = observed(every, [F.count(F.lit(1)).alias("bad")])
+        set_aside(every, cfg, load)
+        counts["rows_rejected"] = watch.get["bad"]
+        log.warning("%s rows or documents are unreadable; see %s", watch.get["bad"], cfg.rejected)
+    return counts
 
 
 def load_statistics(records: DataFrame, cfg: PipelineConfig) -> dict[str, int]:
-    """Clean ``records`` and write them; gives the run's counts.
+    """Clean ``records`` and write them; gives the run's counts."""
+    if not has_rows(records):
+        log.info("no new statistics")
+        return {"rows_read": 0, "rows_kept": 0}
+    return write_statistics(records, cfg)
+
+
+def write_statistics(records: DataFrame, cfg: PipelineConfig) -> dict[str, int]:
+    """Clean ``records``, of which there are some, and write them.
 
     Counts are observed while the rows are written, so nothing is computed twice for them.
     """
     if cfg.statistics_mode not in ("merge", "append"):
         raise ValueError(f"statistics_mode is merge or append, not {cfg.statistics_mode!r}")
-    if not has_rows(records):
-        log.info("no new statistics")
-        return {"rows_read": 0, "rows_kept": 0}
     records, read = observed(records, raw_measures())
     clean, kept = observed(
         clean_statistics(records, cfg.job_name, cfg.as_of), clean_measures()
@@ -76,17 +134,22 @@ def load_statistics(records: DataFrame, cfg: PipelineConfig) -> dict[str, int]:
 
 def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     """All raw statistics of the chosen regions into the cleaned statistics table."""
-    return load_statistics(raw_statistics(spark, cfg), cfg)
+    return load_inputs(raw_inputs(spark, cfg), cfg)
 
 
-def load_categories(documents: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def load_categories(documents: DataFrame, cfg: PipelineConfig, load: str | None = None) -> DataFrame:
     """Write the reference rows of ``documents``; gives a report with one row per file.
 
     A region's partition is replaced as a whole, so a file that arrives again changes nothing.
+    Documents that give no items are set aside as rejected input.
     """
     rows = reference_records(documents, cfg.as_of)
     if has_rows(rows):
         overwrite_partitions(rows, cfg.reference, ["region"])
+    rejected = refused_documents(documents)
+    if has_rows(rejected):
+        log.warning("category documents could not be read; see %s", cfg.rejected)
+        set_aside(rejected, cfg, load or f"categories-{run_name(cfg)}")
     return document_report(documents)
 
 

@@ -12,12 +12,19 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidestrata.functions import region_of_path
 from tidestrata.schemas import CATEGORY_ITEM, LANDING_STAMP
-from tidestrata.sources.statistics import JSON_FILES, JSON_NAME, document_options, known_files, reader
+from tidestrata.sources.files import (
+    JSON_FILES,
+    JSON_NAME,
+    as_pattern,
+    listed_files,
+    qualified,
+    wanted_files,
+)
+from tidestrata.sources.rejected import NO_ITEMS, NOT_JSON
+from tidestrata.sources.statistics import BAD, document_options
 
-BAD = "_unparsed"
 
-
-def found_item(spark: SparkSession, path: str, **options) -> StructType:
+def found_item(spark: SparkSession, path: str | list[str], **options) -> StructType:
     """The declared item fields and, as text, further ones of the items in the files.
 
     Fields outside any ``items`` count only where no document has the list.
@@ -55,19 +62,20 @@ def category_documents(
     *,
     layout: str = "documents",
     item: StructType | None = None,
-    stream: bool = False,
+    files: list[str] | None = None,
     **options,
 ) -> DataFrame:
     """One row per document: items, region, file, its times, and the text if unreadable.
 
     A document without an ``items`` list is taken as one item itself. ``item`` declares the item's
     fields; without it they are the usual ones and whatever else the files hold, found by a pass
-    over them. A stream looks when it starts, so a field that first comes in a file arriving later
-    is found by the next run. A field the document lacks is null.
+    over them. A field the document lacks is null. Given ``files``, exactly those are read.
     """
     settings = {"pathGlobFilter": JSON_FILES, "recursiveFileLookup": True} | document_options(layout)
-    if not stream:
-        known_files(spark, path, JSON_NAME, region=False)
+    named = files if files is not None else listed_files(spark, path)
+    found = wanted_files(qualified(spark, path), named, JSON_NAME, region=False)
+    if files is not None:
+        path = [as_pattern(file) for file in found]
     item = item or found_item(spark, path, **(settings | options))
     # "items" is declared next to the item's own fields, for the document that is one item.
     document = StructType(
@@ -79,7 +87,7 @@ def category_documents(
         ]
     )
     settings["columnNameOfCorruptRecord"] = BAD
-    raw = reader(spark, document, stream, **(settings | options)).json(path)
+    raw = spark.read.schema(document).options(**(settings | options)).json(path)
     fields = [F.col(field.name) for field in item.fields]
     items = F.coalesce("items", F.array(F.struct(*fields)))
     # A field of another type than declared marks a document too, but leaves the rest readable.
@@ -93,3 +101,16 @@ def category_documents(
         F.coalesce("_pipeline_metadata.ingestion_timestamp", F.lit("")).alias("_landed_at"),
         region_of_path(F.col("_metadata.file_path")).alias("region"),
     )
+
+
+def refused_documents(documents: DataFrame) -> DataFrame:
+    """(source, region, file, place, reason, record) of category documents that give no items."""
+    unreadable = F.col("items").isNull()
+    return documents.where(unreadable | (F.size("items") == 0)).select(
+        F.lit("categories").alias("source"),
+        "region",
+        F.col("_source_file").alias("file"),
+        F.lit(0).cast("bigint").alias("place"),
+        F.when(unreadable, NOT_JSON).otherwise(NO_ITEMS).alias("reason"),
+        F.col("unreadable").alias("record"),
+    )

@@ -1,102 +1,41 @@
 """Raw statistics files.
 
-Each reader declares its schema, so no file is read twice to infer one, and takes ``stream=True``
-to read only files that a checkpoint has not seen yet.
+Each reader declares its schema, so no file is read twice to infer one. Given ``files``, a reader takes
+exactly those, as a stream does that has learnt which ones are new; otherwise all files under the path
+at any depth. Records that cannot be read are marked (``sources.rejected``) by the ``_input`` readers
+and left out by the ``_statistics`` ones.
 """
 
 from __future__ import annotations
 
 import csv
-import re
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidestrata.operators.columns import flatten, quoted
 from tidestrata.schemas import API_DOCUMENT, CSV_SCHEMA
+from tidestrata.sources.files import (
+    CSV_FILES,
+    CSV_NAME,
+    JSON_FILES,
+    JSON_NAME,
+    as_pattern,
+    by_depth,
+    first_lines,
+    listed_files,
+    qualified,
+    wanted_files,
+    whole_or_listed,
+)
+from tidestrata.sources.rejected import MARKS, NO_LIST, NOT_JSON, RAGGED, accepted, marks
 
 LAYOUTS = ("documents", "lines")
-
-# Uploaded documents end in .json; Spark's text sink, which lands payloads, writes .txt.
-JSON_FILES = "*.{[jJ][sS][oO][nN],[tT][xX][tT]}{,.gz,.bz2,.deflate}"
-# Spark picks the codec by the last extension, in lower case.
-JSON_NAME = re.compile(r"\.(?i:json|txt)(\.(gz|bz2|deflate))?$")
-CSV_NAME = re.compile(r"\.(?i:csv)(\.(gz|bz2|deflate))?$")
-
-# CSV uploads lie beside the hour folders of landed documents, so each reader names its own level.
-CSV_FOLDERS = "region=*/*.{csv,CSV,csv.gz,csv.bz2}"
-API_FOLDERS = "region=*/date=*/hour=*"
-HOUR_FILE = re.compile(r"region=[^/]*/date=[^/]*/hour=[^/]*/[^/]*")
-
-
-def reader(spark: SparkSession, schema: StructType, stream: bool, **options):
-    source = spark.readStream if stream else spark.read
-    return source.schema(schema).options(**options)
-
-
-def or_empty(
-    spark: SparkSession, schema: StructType, root: str, read: Callable[[], DataFrame]
-) -> DataFrame:
-    """What ``read`` finds; no rows where no file has arrived yet. A missing ``root`` is an error."""
-    try:
-        return read()
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        # Listing the root raises if it is not there, and reads nothing.
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).schema
-        return spark.createDataFrame([], schema)
-
-
-def as_pattern(file: str) -> str:
-    """The URI of a file as readers take paths, which are patterns."""
-    return re.sub(r"([\\{}\[\]*?^])", r"\\\1", unquote(file))
-
-
-def partitions_of(root: str, file: str) -> tuple[str, ...]:
-    """Names of the partition folders of a file under ``root``, as Spark finds them: the innermost run."""
-    folders = file_below(root, file).split("/")[:-1]
-    names = []
-    for folder in reversed(folders):
-        name, equals, _ = folder.partition("=")
-        if equals and name:
-            names.append(name)
-        elif names:
-            break
-    return tuple(reversed(names))
-
-
-def file_below(root: str, file: str) -> str:
-    plain = [re.sub(r"^[\w.+-]+:/*", "/", path) for path in (root, unquote(file))]
-    return plain[1].removeprefix(plain[0].rstrip("/") + "/")
-
-
-def known_files(spark: SparkSession, root: str, wanted: re.Pattern, region: bool = True) -> tuple[str, list[str]]:
-    """The qualified ``root`` and all files named like ``wanted`` under it, at any depth.
-
-    A file that neither the CSV nor the document readers take by its name, or with ``region`` one
-    outside any region folder, is an error that names it. Hidden files (``_`` or ``.`` first) do not count.
-    """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    folder = unquote(str(folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).inputFiles()
-    found, unread = [], []
-    for file in sorted(files):
-        name = unquote(file)
-        if not (CSV_NAME.search(name) or JSON_NAME.search(name)):
-            unread.append(name)
-        elif wanted.search(name):
-            placed = not region or "region" in partitions_of(folder, file)
-            (found if placed else unread).append(file)
-    if unread:
-        raise ValueError(f"{len(unread)} files under {root} that no reader takes: {', '.join(unread[:20])}")
-    return folder, found
+BAD = "_unparsed"
 
 
 def document_options(layout: str) -> dict[str, object]:
@@ -114,88 +53,77 @@ def keep_regions(frame: DataFrame, regions: Iterable[str] | None) -> DataFrame:
     return frame if regions is None else frame.where(F.col("region").isin(list(regions)))
 
 
-def csv_statistics(
+def with_bad(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(BAD, StringType())])
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != "region"]
+    fields += ["region string", *(f"{m} {'long' if m == MARKS[2] else 'string'}" for m in MARKS)]
+    return spark.createDataFrame([], ", ".join(fields))
+
+
+def csv_input(
     spark: SparkSession,
     path: str,
     *,
     layout: str = "documents",
-    files: str = CSV_FOLDERS,
-    stream: bool = False,
+    files: list[str] | None = None,
+    regions: Iterable[str] | None = None,
     **options,
 ) -> DataFrame:
-    """CSV rows under ``region=xx/``, at any depth, as text columns.
+    """CSV rows under ``region=xx/``, at any depth, as text columns, with marks on those that are ragged.
 
-    Files that no reader takes are an error (``known_files``). Given other ``files``, and in a stream,
-    only what that pattern meets is read.
+    Files that no reader takes are an error (``wanted_files``). Files of other than the chosen
+    ``regions`` are not opened. Columns go by the header of each file, in whatever order; one that a
+    file lacks is null, further ones are left out. A row with more or fewer fields than its header is
+    marked.
 
-    Columns go by the header of each file, in whatever order; one that a file lacks is null, further
-    ones are left out. A stream takes files one by one and cannot sort them by header, so there
-    another header than the declared one is an error. Descriptions hold line breaks inside quotes,
-    so with the ``documents`` layout a file is parsed as a whole and files are the unit of
-    parallelism. Where no field has a line break, ``lines`` lets Spark split files.
+    Descriptions hold line breaks inside quotes, so with the ``documents`` layout a file is parsed as a
+    whole and files are the unit of parallelism. Where no field has a line break, ``lines`` lets Spark
+    split files.
     """
-    settings = {"quote": '"', "escape": '"', "basePath": path} | document_options(layout) | options
-    settings |= {"header": True, "enforceSchema": False}
-    if stream:
-        return reader(spark, CSV_SCHEMA, stream, **settings).csv(f"{path}/{files}")
-    if files == CSV_FOLDERS:
-        root, found = known_files(spark, path, CSV_NAME)
-        if not found:
-            return spark.createDataFrame([], CSV_SCHEMA)
-        lines = spark.read.option("recursiveFileLookup", True).text([as_pattern(file) for file in found])
-    else:
-        root = path
-        lines = or_empty(
-            spark,
-            StructType([StructField("value", StringType())]),
-            path,
-            lambda: spark.read.option("basePath", path).text(f"{path}/{files}"),
-        )
+    settings = {"quote": '"', "escape": '"', "basePath": path, "columnNameOfCorruptRecord": BAD}
+    settings |= document_options(layout) | options | {"header": True, "enforceSchema": False}
+    root = qualified(spark, path)
+    listed = files if files is not None else listed_files(spark, path)
+    found = wanted_files(root, listed, CSV_NAME, regions=regions)
+    headers = defaultdict(list)
+    for file, head in first_lines(spark, found).items():
+        headers[head].append(file)
     frames = []
-    for schema, group in header_groups(lines):
-        # Files at different depths have different partition columns, which one read cannot mix.
-        depths = defaultdict(list)
-        for file in group:
-            depths[partitions_of(root, file)].append(as_pattern(file))
-        for level in depths.values():
-            frames.append(named_columns(reader(spark, schema, False, **settings).csv(level)))
-    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], CSV_SCHEMA)
-
-
-def header_groups(lines: DataFrame) -> list[tuple[StructType, list[str]]]:
-    """The files (URIs) of ``lines`` by header, each with the schema that the header names.
-
-    One row per file reaches the driver, which plans the reading of files anyway.
-    """
-    if not lines.inputFiles():
-        return []
-    placed = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    )
-    heads = placed.groupBy("file").agg(F.min_by("value", F.struct("block", "line")).alias("head"))
-    groups = defaultdict(list)
-    for row in heads.orderBy("file").collect():
-        groups[row["head"]].append(row["file"])
-    found = []
-    for head, group in groups.items():
+    for head, group in headers.items():
         names = next(csv.reader([head.removeprefix("\ufeff")]))
-        found.append((StructType([StructField(name, StringType()) for name in names]), group))
-    return found
+        schema = with_bad(StructType([StructField(name, StringType()) for name in names]))
+        reader = spark.read.schema(schema).options(**settings)
+        if files is None and len(headers) == 1:
+            reader = reader.option("pathGlobFilter", CSV_FILES)
+            frames += whole_or_listed(root, listed, group, regions, reader.csv)
+        else:
+            frames += [reader.csv([as_pattern(f) for f in level]) for level in by_depth(root, group)]
+    rows = [named_columns(frame) for frame in frames]
+    return reduce(DataFrame.unionByName, rows) if rows else no_rows(spark, CSV_SCHEMA)
 
 
 def named_columns(frame: DataFrame) -> DataFrame:
-    """The declared columns by name, null where ``frame`` has none."""
+    """The declared columns by name, null where ``frame`` has none, and marks on ragged rows."""
+    # Spark wants a query to name another column of the file as well, even one that only counts rows.
+    sizes = F.length(BAD) + F.length(F.coalesce(quoted(frame.columns[0]), F.lit("")))
+    ragged = F.when(sizes >= 0, F.lit(RAGGED))
     return frame.select(
         *[
             (quoted(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in CSV_SCHEMA.fields
-        ]
+        ],
+        *marks(ragged, F.col(BAD)),
     )
 
 
+def csv_statistics(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The rows of ``csv_input`` that can be read."""
+    return accepted(csv_input(spark, path, **options))
+
+
 def api_items(documents: DataFrame, *context: str | Column) -> DataFrame:
     """One row per entry of ``items``, nested fields as dotted columns, next to ``context``."""
     exploded = documents.select(*context, F.explode("items").alias("item"))
@@ -203,31 +131,48 @@ def api_items(documents: DataFrame, *context: str | Column) -> DataFrame:
     return flatten(exploded.select(*kept, "item.*"))
 
 
-def api_statistics(
+def api_input(
     spark: SparkSession,
     path: str,
     *,
     layout: str = "documents",
-    folders: str = API_FOLDERS,
-    stream: bool = False,
+    files: list[str] | None = None,
+    regions: Iterable[str] | None = None,
     **options,
 ) -> DataFrame:
-    """Video items of API documents under ``region=/date=/hour=``, flattened.
+    """Video items of API documents under ``region=xx/``, flattened, and a marked row per unreadable one.
 
-    Documents at other depths are read as well, and files that no reader takes are an error
-    (``known_files``). Given other ``folders``, and in a stream, only those folders are read.
+    Documents are found at any depth, normally ``region=/date=/hour=``; files that no reader takes are
+    an error (``wanted_files``). A document that is no JSON object, or has no list of items, is marked. A
+    field of another type than declared is null and leaves the rest readable.
     """
-    settings = {"pathGlobFilter": JSON_FILES, "basePath": path} | document_options(layout)
-    source = reader(spark, API_DOCUMENT, stream, **(settings | options))
-    documents = or_empty(spark, API_DOCUMENT, path, lambda: source.json(f"{path}/{folders}"))
-    documents = documents.select("items", "region")
-    if folders == API_FOLDERS and not stream:
-        depths = defaultdict(list)
-        root, found = known_files(spark, path, JSON_NAME)
-        for file in found:
-            if not HOUR_FILE.fullmatch(file_below(root, file)):
-                depths[partitions_of(root, file)].append(as_pattern(file))
-        for level in depths.values():
-            more = reader(spark, API_DOCUMENT, False, **(settings | options)).json(level)
-            documents = documents.unionByName(more.select("items", "region"))
-    return api_items(documents, "region")
+    settings = {"basePath": path, "columnNameOfCorruptRecord": BAD} | document_options(layout) | options
+    reader = spark.read.schema(with_bad(API_DOCUMENT)).options(**settings)
+    root = qualified(spark, path)
+    listed = files if files is not None else listed_files(spark, path)
+    found = wanted_files(root, listed, JSON_NAME, regions=regions)
+    if not found:
+        return api_items(no_rows(spark, API_DOCUMENT), "region", *MARKS)
+    if files is None:
+        whole = reader.option("pathGlobFilter", JSON_FILES)
+        frames = whole_or_listed(root, listed, found, regions, whole.json)
+    else:
+        frames = [reader.json([as_pattern(f) for f in level]) for level in by_depth(root, found)]
+    reason = F.when(F.col("items").isNull(), F.when(F.col(BAD).isNotNull(), NOT_JSON).otherwise(NO_LIST))
+    record = F.coalesce(F.col(BAD), F.to_json("_pipeline_metadata"))
+    # An unreadable document keeps one row, of an item without fields.
+    nothing = F.array(F.lit(None).cast(API_DOCUMENT["items"].dataType.elementType))
+    rows = [
+        frame.select(
+            F.coalesce("items", nothing).alias("items"),
+            F.col("region").cast("string").alias("region"),
+            *marks(reason, record),
+        )
+        for frame in frames
+    ]
+    return api_items(reduce(DataFrame.unionByName, rows), "region", *MARKS)
+
+
+def api_statistics(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The items of ``api_input`` from documents that can be read."""
+    return accepted(api_input(spark, path, **options))

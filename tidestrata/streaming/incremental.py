@@ -1,18 +1,22 @@
 """New files only: a checkpoint remembers what was read, a run takes what is there and stops.
 
-A batch may be delivered twice after a failure. Merging statistics and replacing category
-partitions give the same table then, so each file counts once.
+What streams is the names of files. Each batch reads exactly the files it is given with the batch
+readers, so files of any depth, header and spelling are read, and a file that no reader takes fails the
+run by its name. A batch may be delivered twice after a failure. Merging statistics, replacing
+category partitions and filing rejected input under its batch give the same tables then.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidestrata.config import PipelineConfig
-from tidestrata.operators.conform import statistics_record
-from tidestrata.plans.silver import load_categories, load_statistics
-from tidestrata.sources import api_statistics, category_documents, csv_statistics, keep_regions
+from tidestrata.plans.silver import load_categories, load_inputs
+from tidestrata.sources import api_input, arriving_files, category_documents, csv_input
+from tidestrata.sources.files import CSV_NAME, JSON_NAME, qualified, wanted_files
 from tidestrata.workspace import shared_folder
 
 
@@ -20,13 +24,27 @@ def progress_folder(spark: SparkSession, table: str, source: str) -> str:
     return f"{shared_folder(spark)}/progress/{table.replace('.', '/')}/{source}"
 
 
-def each_batch(frame: DataFrame, load, checkpoint: str) -> StreamingQuery:
-    return (
-        frame.writeStream.foreachBatch(load)
+def each_batch(
+    files: DataFrame, load: Callable[[list[str], str], object], checkpoint: str
+) -> StreamingQuery:
+    """Run ``load`` on the names of each batch's files and the name of the batch, and wait for the end.
+
+    A batch is named by its query, whose id lies in the checkpoint, and its number: another checkpoint
+    never repeats a name. One name per new file reaches the driver, which plans their reading.
+    """
+
+    def batch(frame: DataFrame, number: int) -> None:
+        stream = frame.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load(sorted(row["path"] for row in frame.collect()), f"{stream}-{number}")
+
+    query = (
+        files.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    return query
 
 
 def stream_statistics(
@@ -37,25 +55,26 @@ def stream_statistics(
     files_per_batch: int | None = None,
 ) -> list[StreamingQuery]:
     """Start one run over new raw statistics files, CSV first, and wait for each to finish."""
-    options = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
-    sources = {}
-    if cfg.csv_path:
-        sources["csv"] = csv_statistics(
-            spark, cfg.csv_path, layout=cfg.csv_layout, stream=True, **options
-        )
-    if cfg.api_path:
-        sources["api"] = api_statistics(
-            spark, cfg.api_path, layout=cfg.api_layout, stream=True, **options
-        )
+    kinds = {
+        "csv": (cfg.csv_path, cfg.csv_layout, csv_input, CSV_NAME),
+        "api": (cfg.api_path, cfg.api_layout, api_input, JSON_NAME),
+    }
     queries = []
-    for name, frame in sources.items():
-        records = statistics_record(keep_regions(frame, cfg.regions), cfg.as_of)
+    for name, (path, layout, read, wanted) in kinds.items():
+        if not path:
+            continue
+        root = qualified(spark, path)
+
+        def load(files: list[str], batch: str, name=name, path=path, layout=layout, read=read, wanted=wanted, root=root):
+            own = wanted_files(root, files, wanted, regions=cfg.regions)
+            if own:
+                rows = read(spark, path, layout=layout, files=own, regions=cfg.regions)
+                load_inputs({name: rows}, cfg, f"{name}-{batch}")
+
         folder = (
             f"{checkpoint}/{name}" if checkpoint else progress_folder(spark, cfg.statistics, name)
         )
-        query = each_batch(records, lambda batch, _: load_statistics(batch, cfg), folder)
-        query.awaitTermination()
-        queries.append(query)
+        queries.append(each_batch(arriving_files(spark, path, files_per_batch), load, folder))
     return queries
 
 
@@ -67,16 +86,19 @@ def stream_categories(
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start one run over new category files and wait for it to finish."""
-    options = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
-    documents = category_documents(
-        spark,
-        cfg.category_path,
-        layout=cfg.category_layout,
-        item=cfg.category_schema,
-        stream=True,
-        **options,
-    )
+    root = qualified(spark, cfg.category_path)
+
+    def load(files: list[str], batch: str) -> None:
+        own = wanted_files(root, files, JSON_NAME, region=False)
+        if own:
+            documents = category_documents(
+                spark,
+                cfg.category_path,
+                layout=cfg.category_layout,
+                item=cfg.category_schema,
+                files=own,
+            )
+            load_categories(documents, cfg, f"categories-{batch}")
+
     folder = checkpoint or progress_folder(spark, cfg.reference, "categories")
-    query = each_batch(documents, lambda batch, _: load_categories(batch, cfg), folder)
-    query.awaitTermination()
-    return query
+    return each_batch(arriving_files(spark, cfg.category_path, files_per_batch), load, folder)

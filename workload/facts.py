@@ -173,6 +173,15 @@ def trending_payloads(frame: DataFrame, *, breaking: bool = False) -> DataFrame:
     )
 
 
+def upper_case_endings(spark: SparkSession, path: str) -> None:
+    """Rename the hour folders' CSV files to end in capitals, as some uploads do."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/*/*/*.csv")):
+        name = found.getPath().toString()
+        files.rename(found.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{name[:-4]}.CSV"))
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     return scratch_folder(spark, f"workload/{name}")
 

@@ -405,6 +405,25 @@ ORACLES: dict[str, str] = {
       WHERE lower(r_name) NOT IN (SELECT region FROM trending WHERE failed > 0)
       GROUP BY r_name""",
     "incremental_silver": f"WITH {SILVER} {STAMPED}",
+    "incremental_any_file": f"WITH {SILVER} {STAMPED}",
+    "rejected_input": f"""WITH {FACTS},
+      lines AS (
+        SELECT 'csv' AS source, region, 'fields do not match the header' AS reason, 1 AS records,
+          length(concat_ws(',', video_id, trending_date, title, channel_title, category_id::varchar,
+            publish_time, '', views::varchar, coalesce(likes::varchar, ''), dislikes::varchar,
+            comment_count::varchar, '', comments_disabled::varchar, ratings_disabled::varchar,
+            video_error_or_removed::varchar, 'one,more')) + 2 AS characters
+        FROM facts WHERE views = 0
+        UNION ALL
+        SELECT 'api', region, 'not readable as JSON', 1, 40 FROM facts
+        WHERE views = 0 AND region <> ' ASIA'),
+      totals AS (
+        SELECT 2 * count(*) + count(likes) - count_if(views = 0)
+          - sum(CASE WHEN views = 0 AND region <> ' ASIA' THEN 1 + (likes IS NOT NULL)::int ELSE 0 END) AS n
+        FROM facts)
+      SELECT source, region, reason, sum(records)::bigint AS records, sum(characters)::bigint AS characters,
+        (SELECT n FROM totals)::bigint AS rows_read, (SELECT count(*) FROM lines) AS rows_rejected
+      FROM lines GROUP BY source, region, reason""",
     "reference_replay": """
       SELECT n_nationkey::varchar AS id, n_name AS snippet_title,
         '2024-02-01T09:30:00+00:00' AS _ingestion_timestamp, lower(r_name) AS region

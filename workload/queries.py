@@ -39,6 +39,7 @@ from tidestrata.operators.summaries import (
     daily_trends,
 )
 from tidestrata.plans import (
+    bronze_to_silver,
     clean_statistics,
     land_raw,
     load_statistics,
@@ -68,6 +69,7 @@ from workload.facts import (
     fresh_folder,
     source,
     trending_payloads,
+    upper_case_endings,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -677,6 +679,60 @@ def incremental_silver(spark, folder):
     return table(spark, cfg.statistics)
 
 
+@query
+def incremental_any_file(spark, folder):
+    """A lot in one layout, then one of other depths, another header order and upper-case endings."""
+    path = fresh_folder(spark, "any-file")
+    cfg = replace(run_config(spark, "any_file"), csv_path=path, statistics_partitions=("region",))
+    lot = F.crc32(F.concat_ws("|", "title", "views")) % 4
+    records = as_text(appearances(spark, folder).withColumn("lot", lot))
+    day = F.col("trending_date").alias("date")
+
+    def write(number, columns, folders):
+        rows = records.where(F.col("lot") == number).select(*columns, *folders[1:])
+        files = rows.write.mode("append").options(header=True, quote='"', escape='"')
+        files.partitionBy("region", *[f for f in ("date", "hour") if f in rows.columns]).csv(path)
+
+    names = [c for c in records.columns if c != "lot"]
+    write("0", names, ["region"])
+    stream_statistics(spark, cfg, checkpoint=f"{path}-progress")
+    write("1", names[::-1], ["region", day])
+    write("2", names, ["region", day, F.lit("09").alias("hour")])
+    upper_case_endings(spark, path)
+    write("3", names[::-1], ["region"])
+    stream_statistics(spark, cfg, checkpoint=f"{path}-progress")
+    return table(spark, cfg.statistics)
+
+
+@query
+def rejected_input(spark, folder):
+    """Rows with a field too many and documents that break off are set aside; the others are cleaned."""
+    path = fresh_folder(spark, "rejected")
+    records = appearances(spark, folder)
+    # Zero bytes instead of quotes, so that a comma in the text makes another field.
+    words = F.when(F.col("views") == 0, "one,more").otherwise("none")
+    rows = as_text(records.withColumn("description", words))
+    rows.write.options(header=True, quote="\u0000").partitionBy("region").csv(f"{path}/csv")
+    documents = trending_payloads(records, breaking=True).select(
+        "payload", "region", F.lit("2024-02-01").alias("date"), F.lit("09").alias("hour")
+    )
+    documents.write.partitionBy("region", "date", "hour").text(f"{path}/api")
+    cfg = replace(
+        run_config(spark, "rejecting"),
+        csv_path=f"{path}/csv",
+        api_path=f"{path}/api",
+        api_layout="lines",
+        statistics_partitions=("region",),
+    )
+    counts = bronze_to_silver(spark, cfg)
+    return (
+        table(spark, cfg.rejected)
+        .groupBy("source", "region", "reason")
+        .agg(F.count(F.lit(1)).alias("records"), F.sum(F.length("record")).alias("characters"))
+        .withColumns({c: F.lit(counts[c]).cast("bigint") for c in ("rows_read", "rows_rejected")})
+    )
+
+
 @query
 def reference_replay(spark, folder):
     """Category files landed and loaded twice: the table stays as after the first time."""
