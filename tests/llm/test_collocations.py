@@ -64,9 +64,9 @@ def found(frame):
     return sorted(tuple(r) for r in frame.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
 
 
-@pytest.mark.parametrize("settings", [{}, {"block": 300, "best": 7}])
+@pytest.mark.parametrize("settings", [{}, {"block": 300, "best": 7, "owned": 900}])
 def test_phrases_equal_plain_counts(spark, settings):
-    """The second case cuts texts at breaks into many blocks."""
+    """The second case cuts texts at breaks into many blocks and deals units to many owners."""
     rows = corpus(4, 250)
     docs = spark.createDataFrame(rows, "lang string, text string").withColumns(
         {"unit": F.lit(1), "id": F.lit("x"), "n": F.lit(2)}

@@ -5,11 +5,16 @@ falling frequency. Adjacent ids are cells of a plane that is cut into square til
 pairs of a block fall into is counted by direct address, the pairs of the others by sorting their
 coordinates. Frequent pairs are ranked in their turn, and two of them that overlap in a word are again
 a pair of adjacent ids, so the same step counts phrases of three words and then of four.
+
+Blocks send what they have counted to owners, each of a share of a language's units. An owner adds up
+its units, ranks those that are frequent, and sends every block the ids of its own. Ids of several
+owners interleave, so small ids are frequent ones. Counts travel as arrays, one row per block and owner.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidestrata.llm.common import LOWER, UPPER, stored
-from tidestrata.operators.rank import with_rank
+from tidestrata.llm.common import LOWER, UPPER, dropped, staged
 
 #: Phrases rarer than this are no candidates; the longest has so many words.
 FREQUENT = 30
@@ -40,6 +44,8 @@ _PLAIN = bytes.maketrans(
     UPPER.encode() + b".,;:!?\x0a\x0b\x0c\x0d\x09", LOWER.encode() + _BREAK * 10 + b" "
 )
 NOTHING = -1
+#: Words of text for which there is one owner per language.
+OWNED = 4 << 20
 
 
 def _parts(text: bytes, size: int) -> Iterator[bytes]:
@@ -148,72 +154,156 @@ def _looked_up(keys: np.ndarray, known: np.ndarray, ids: np.ndarray) -> np.ndarr
     return np.where(known[at] == keys, ids[at], NOTHING).astype(np.int32)
 
 
-def _step(paired: bool):
-    """Places of a block as ids of the units that ``known`` lists, and how often ids meet."""
+_COUNTS = pa.schema(
+    [
+        ("block", pa.int64()),
+        ("lang", pa.string()),
+        ("owner", pa.int32()),
+        ("units", pa.binary()),
+        ("words", pa.list_(pa.binary())),
+        ("times", pa.binary()),
+    ]
+)
+_COUNT_COLUMNS = "block long, lang string, owner int, units binary, words array<binary>, times binary"
+
+
+def _dealt(block: int, lang: str, units: np.ndarray, times: np.ndarray, owner: np.ndarray, words=None):
+    """A row of `_COUNTS` for every owner of units of the block; words come with those of the first step."""
+    order = np.argsort(owner, kind="stable")
+    cuts = np.flatnonzero(np.diff(owner[order])) + 1
+    for part in np.split(order, cuts) if len(order) else []:
+        own = None if words is None else [words[i] for i in part]
+        yield (block, lang, int(owner[part[0]]), units[part].tobytes(), own, times[part].tobytes())
+
+
+def _count_table(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [[] for _ in _COUNTS]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _COUNTS)], schema=_COUNTS)
+
+
+def _word_counts(owners: int):
+    """The words of each block, dealt to their owners by a checksum."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, lang, words, times in zip(*(c.to_pylist() for c in batch.columns)):
+                owner = np.array([crc32(word) % owners for word in words], np.int64)
+                places = np.arange(len(words), dtype=np.int64)
+                rows = list(_dealt(block, lang, places, np.array(times, np.int64), owner, words))
+                yield from _count_table(rows).to_batches()
+
+    return deal
+
+
+def _step(paired: bool, owners: int):
+    """A block in the ids of its known units, and how often ids meet, dealt to the owners of pairs."""
 
     def step(block: pa.Table, known: pa.Table) -> pa.Table:
+        number, lang = (block.column(c)[0].as_py() for c in ("block", "lang"))
         units = np.frombuffer(block.column("units")[0].as_py(), np.int32)
         units = _paired(units) if paired else units
-        units = _looked_up(units, known.column("unit").to_numpy(), known.column("id").to_numpy())
+        keys, ids = (np.frombuffer(b"".join(known.column(c).to_pylist()), np.int64) for c in ("units", "ids"))
+        units = _looked_up(units, keys, ids)
         pairs = _paired(units)
         pairs = pairs[pairs != NOTHING]
         first, second, times = counted(pairs >> 32, pairs & 0xFFFFFFFF)
-        lists = [pa.array([part], pa.list_(pa.int64())) for part in (first, second, times)]
-        own = [block.column(c).combine_chunks() for c in ("block", "lang")]
-        return pa.Table.from_arrays(
-            [*own, pa.array([units.tobytes()], pa.binary()), *lists],
-            names=["block", "lang", "units", "first", "second", "times"],
-        )
+        pairs = first << 32 | second
+        mixed = pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        owner = ((mixed >> np.uint64(32)) % np.uint64(owners)).astype(np.int64)
+        rows = [(number, lang, None, units.tobytes(), None, None)]
+        return _count_table(rows + list(_dealt(number, lang, pairs, times.astype(np.int64), owner)))
 
     return step
 
 
-_STEP = "block long, lang string, units binary, first array<long>, second array<long>, times array<long>"
-
-
-def _next(blocks: DataFrame, known: DataFrame, paired: bool) -> DataFrame:
-    """``blocks`` in the ids of ``known`` (block, unit, id) with the pairs of each block."""
-    known = known.select(F.col("block").alias("of"), "unit", "id")
-    sides = blocks.select("block", "lang", "units").groupBy("block"), known.groupBy("of")
-    return stored(sides[0].cogroup(sides[1]).applyInArrow(_step(paired), _STEP), "pairs")
-
-
-def _pair_rows(blocks: DataFrame) -> DataFrame:
-    cell = F.explode(F.arrays_zip("first", "second", "times")).alias("cell")
-    return blocks.select("block", "lang", cell).select("block", "lang", "cell.*")
+_RANKED = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("block", pa.int64()),
+        ("units", pa.binary()),
+        ("ids", pa.binary()),
+        ("phrases", pa.list_(pa.struct([("unit", pa.int64()), ("word", pa.binary()), ("id", pa.int64()), ("f", pa.int64())]))),
+    ]
+)
+_RANKED_COLUMNS = (
+    "lang string, block long, units binary, ids binary, "
+    "phrases array<struct<unit:bigint,word:binary,id:bigint,f:bigint>>"
+)
 
 
-def _phrases(pairs: DataFrame, shorter: DataFrame, frequent: int) -> DataFrame:
-    """The frequent ones among ``pairs`` with their words and the counts of their beginnings and ends.
+def _owner(owners: int, frequent: int):
+    """The frequent units of an owner with their ids, and for each block the ids of those it has."""
+
+    def rank(table: pa.Table) -> pa.Table:
+        lang, owner = (table.column(c)[0].as_py() for c in ("lang", "owner"))
+        blocks = table.column("block").to_pylist()
+        units = [np.frombuffer(x, np.int64) for x in table.column("units").to_pylist()]
+        times = np.frombuffer(b"".join(table.column("times").to_pylist()), np.int64)
+        every = np.concatenate(units)
+        words = table.column("words").combine_chunks()
+        if words.null_count:
+            names, distinct, place = None, *np.unique(every, return_inverse=True)
+        else:
+            coded = words.flatten().dictionary_encode()
+            names, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            distinct = np.arange(len(names))
+        order = np.argsort(place, kind="stable")
+        begin = np.flatnonzero(np.diff(place[order], prepend=-1))
+        sums = np.add.reduceat(times[order], begin) if len(begin) else times
+        often = np.flatnonzero(sums >= frequent)
+        often = often[np.argsort(-sums[often], kind="stable")]
+        ids = np.full(len(distinct), NOTHING, np.int64)
+        ids[often] = np.arange(len(often)) * owners + owner
+        phrases = [
+            {"unit": int(distinct[i]), "word": names[i] if names else None, "id": int(ids[i]), "f": int(sums[i])}
+            for i in often
+        ]
+        rows, at = [(lang, None, None, None, phrases)], 0
+        for block, own in zip(blocks, units):
+            given = ids[place[at : at + len(own)]]
+            at += len(own)
+            if (given >= 0).any():
+                rows.append((lang, block, own[given >= 0].tobytes(), given[given >= 0].tobytes(), None))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RANKED)], schema=_RANKED)
+
+    return rank
+
+
+def _ranked(counts: DataFrame, owners: int, frequent: int) -> tuple[DataFrame, DataFrame]:
+    """(phrases, known): the frequent units of ``counts`` by language, and each block's part of them."""
+    made = counts.where(F.col("owner").isNotNull()).groupBy("lang", "owner")
+    made = staged(made.applyInArrow(_owner(owners, frequent), _RANKED_COLUMNS), "ranked")
+    phrases = made.where(F.col("block").isNull()).select("lang", F.explode("phrases").alias("p"))
+    known = made.where(F.col("block").isNotNull()).select(F.col("block").alias("of"), "units", "ids")
+    return phrases.select("lang", "p.*"), known
+
+
+def _phrases(often: DataFrame, shorter: DataFrame) -> DataFrame:
+    """The frequent pairs ``often`` with their words and the counts of their beginnings and ends.
 
     Of a phrase (x, y), x is the phrase without its last word and y the one without its first.
     """
-    f = F.sum("times").alias("f")
-    often = pairs.groupBy("lang", "first", "second").agg(f).where(F.col("f") >= frequent)
+    often = often.select(
+        "lang", "id", "f", F.shiftright("unit", 32).alias("first"), F.col("unit").bitwiseAND(2**32 - 1).alias("second")
+    )
     x = shorter.select(
         "lang", F.col("id").alias("first"), F.col("phrase").alias("opening"), F.col("starts").alias("s")
     )
     y = shorter.select("lang", F.col("id").alias("second"), "last", F.col("ends").alias("e"))
     named = often.join(x, ["lang", "first"]).join(y, ["lang", "second"])
-    own = F.array("f")
     return named.select(
         "lang",
+        "id",
         "first",
         "second",
         "f",
         F.concat_ws(" ", "opening", "last").alias("phrase"),
         "last",
-        F.concat("s", own).alias("starts"),
-        F.concat("e", own).alias("ends"),
+        F.concat("s", F.array("f")).alias("starts"),
+        F.concat("e", F.array("f")).alias("ends"),
     )
 
 
-def _ranked(frame: DataFrame) -> DataFrame:
-    """``frame`` with ids from 0 by falling frequency, per language."""
-    numbered = with_rank(frame, ["lang"], [F.col("f").desc(), F.col("phrase").asc()], "id")
-    return numbered.withColumn("id", F.col("id") - 1)
-
-
 def _exact(value: Column) -> Column:
     return value.cast("decimal(20,0)")
 
@@ -239,6 +329,7 @@ def collocations(
     frequent: int = FREQUENT,
     best: int = BEST,
     block: int = BLOCK,
+    owned: int = OWNED,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``best`` phrases of each language.
 
@@ -254,39 +345,38 @@ def collocations(
     nothing is frequent, gives no rows. Texts have to be valid UTF-8.
 
     Every shuffle moves counts that a block has combined, or the blocks themselves, so a language or a
-    word with a third of all occurrences makes no large group.
+    word with a third of all occurrences makes no large group. There is an owner of a language's units
+    for every ``owned`` words of all text.
     """
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
         F.coalesce(F.col(text).cast("binary"), F.lit(b"").cast("binary")).alias("text"),
     )
-    blocks = stored(
+    blocks = staged(
         rows.mapInArrow(
             _block_rows(block),
             "block long, lang string, units binary, words array<binary>, times array<long>",
         ),
         "blocks",
     )
-    word = F.posexplode(F.arrays_zip("words", "times")).alias("unit", "word")
-    found = blocks.select("block", "lang", word).select(
-        "block",
-        "lang",
-        F.col("unit").cast("bigint").alias("unit"),
-        F.col("word.words").cast("string").alias("phrase"),
-        F.col("word.times").alias("times"),
-    )
-    totals = found.groupBy("lang").agg(F.sum("times").alias("n"))
-    often = found.groupBy("lang", "phrase").agg(F.sum("times").alias("f")).where(F.col("f") >= frequent)
-    shorter = _ranked(
-        often.select("*", F.col("phrase").alias("last"), F.array("f").alias("starts"), F.array("f").alias("ends"))
+    sizes = blocks.select("lang", F.aggregate("times", F.lit(0).cast("bigint"), lambda n, t: n + t).alias("n"))
+    totals = staged(sizes.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    owners = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // owned))
+    counts = blocks.select("block", "lang", "words", "times").mapInArrow(_word_counts(owners), _COUNT_COLUMNS)
+    often, known = _ranked(counts, owners, frequent)
+    word = F.col("word").cast("string")
+    shorter = often.select(
+        "lang", "id", word.alias("phrase"), word.alias("last"), F.array("f").alias("starts"), F.array("f").alias("ends")
     )
-    known = found.join(shorter.select("lang", "phrase", "id"), ["lang", "phrase"]).select("block", "unit", "id")
     results: list[tuple[DataFrame, DataFrame | None]] = []
     for words in range(2, WORDS + 1):
-        blocks = _next(blocks, known, paired=words > 2)
-        pairs = _pair_rows(blocks)
-        phrases = _phrases(pairs, shorter, frequent)
-        phrases = _ranked(phrases) if words < WORDS else phrases.withColumn("id", F.lit(None).cast("int"))
+        sides = blocks.select("block", "lang", "units").groupBy("block"), known.groupBy("of")
+        step = sides[0].cogroup(sides[1]).applyInArrow(_step(words > 2, owners), _COUNT_COLUMNS)
+        counts = staged(step, "pairs")
+        dropped(blocks)
+        blocks = counts.where(F.col("owner").isNull())
+        often, known = _ranked(counts, owners, frequent)
+        phrases = staged(_phrases(often, shorter), "phrases")
         cover = (
             phrases.select("lang", F.col("first").alias("id"), "f")
             .unionByName(phrases.select("lang", F.col("second").alias("id"), "f"))
@@ -297,9 +387,6 @@ def collocations(
             results[-1] = (results[-1][0], cover)
         results.append((_scored(phrases, words), None))
         shorter = phrases
-        unit = (F.col("first") * F.lit(2**32) + F.col("second")).alias("unit")
-        known = pairs.join(phrases.select("lang", "first", "second", "id"), ["lang", "first", "second"])
-        known = known.select("block", unit, "id")
     every = None
     for scored, cover in results:
         if cover is not None:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidestrata.sinks.merge import discard
 from tidestrata.workspace import shared_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,6 +38,32 @@ def stored(frame: DataFrame, kind: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Spark's setting to remove a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(frame: DataFrame, kind: str) -> DataFrame:
+    """As `stored`; what the write has shuffled is removed when it is done.
+
+    For operators of many steps, whose shuffle files would otherwise lie on the executors' disks until
+    the driver forgets the steps.
+    """
+    settings = frame.sparkSession.conf
+    before = settings.get(CLEANUP, "false")
+    settings.set(CLEANUP, "true")
+    try:
+        return stored(frame, kind)
+    finally:
+        settings.set(CLEANUP, before)
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete stored tables that are not read again."""
+    for frame in frames:
+        for file in frame.inputFiles()[:1]:
+            discard(frame.sparkSession, file.rpartition("/")[0])
+
+
 def unused(frame: DataFrame, name: str) -> str:
     """``name``, or a variant of it that ``frame`` has no column of."""
     taken = {c.lower() for c in frame.columns}
