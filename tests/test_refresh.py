@@ -1,0 +1,139 @@
+"""Summaries refreshed from partials, and appends that a stream delivers twice."""
+
+from dataclasses import replace
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidestrata.operators.conform import from_csv
+from tidestrata.operators.partials import categories_of, channels_of, daily_of, partials
+from tidestrata.operators.summaries import category_trends, channel_performance, daily_trends
+from tidestrata.plans import load_inputs, load_statistics, refresh_gold, silver_to_gold
+from tidestrata.plans import refresh as refresh_module
+from tidestrata.sinks import append, ledger, log_names
+from tidestrata.sources import table
+
+SUMMARIES = ("trending_analytics", "channel_analytics", "category_analytics")
+DAY, NEXT = date(2024, 1, 1), date(2024, 1, 2)
+
+
+@pytest.fixture
+def facts(spark):
+    big = 2**62
+    rows = [
+        ("v1", "us", DAY, "ch1", 1, 100, 10, 1, 2, 10.0, 13.0),
+        ("v1", "us", NEXT, "ch1", 1, 300, 10, 1, 2, 3.3333, 4.3333),
+        ("v2", "us", DAY, "ch1", 9, 100, 0, 0, 0, 0.0, 0.0),
+        ("v3", "us", DAY, "ch0", None, 500, None, 0, 1, 1.0, 1.2),
+        ("v4", "us", None, None, 1, None, 5, 0, 1, 0.0, None),
+        ("v5", "ca", DAY, "ch1", 1, big, 5, 0, 1, 0.0, 0.0),
+        ("v6", "ca", DAY, "ch1", 1, big, 5, 0, 1, 0.0, 0.0),
+        ("v7", "ca", DAY, "ch2", 2, 7, 5, 0, 1, 0.0, 0.0),
+        (None, "ca", NEXT, "ch1", 1, 7, 5, 0, 1, 0.0, 0.0),
+    ]
+    return spark.createDataFrame(
+        rows,
+        "video_id string, region string, trending_date_parsed date, channel_title string,"
+        "category_id long, views long, likes long, dislikes long, comment_count long,"
+        "like_ratio double, engagement_rate double",
+    )
+
+
+def as_rows(frame):
+    columns = sorted(c for c in frame.columns if not c.startswith("_"))
+    return sorted((tuple(map(str, r)) for r in frame.select(*columns).collect()))
+
+
+def test_summaries_of_partials_equal_those_of_facts(spark, facts):
+    """Nulls everywhere, a sum beyond a bigint, and a video on two days."""
+    lookup = spark.createDataFrame([(1, "Film")], "category_id long, category_name string")
+    parts = partials(facts)
+    assert as_rows(daily_of(parts)) == as_rows(daily_trends(facts))
+    for names in (lookup, None):
+        assert as_rows(channels_of(parts, names)) == as_rows(channel_performance(facts, names))
+        assert as_rows(categories_of(parts, names)) == as_rows(category_trends(facts, names))
+    assert partials(facts.limit(0)).isEmpty() and daily_of(parts.limit(0)).isEmpty()
+
+
+def video(name, day, region="us", **more):
+    return {"video_id": name, "trending_date": day, "region": region, "title": "t" + name} | more
+
+
+def rebuilt(spark, cfg, name):
+    """A summary built from all facts, in a database of its own."""
+    other = replace(cfg, gold_database=f"{cfg.gold_database}_whole")
+    silver_to_gold(spark, other)
+    return as_rows(table(spark, other.gold(name)))
+
+
+def test_a_refresh_reads_changed_days_only(spark, cfg, raw, tmp_path):
+    """The file of an untouched day is made unreadable; the refresh does not notice."""
+    names = spark.createDataFrame([("10", "Film", "us")], "id string, snippet_title string, region string")
+    append(names, cfg.reference)
+    assert refresh_gold(spark, cfg) == {"days_read": 0, "regions_written": 0}
+    lots = [
+        [video("a", "24.01.01"), video("b", "24.02.01", channel_title="x"), video("c", "24.01.01", "ca")],
+        [video("a", "24.02.01", views="5"), video("b", "24.02.01", views="9", channel_title="y")],
+    ]
+    load_statistics(from_csv(raw(*lots[0])), cfg)
+    assert refresh_gold(spark, cfg) == {"days_read": 3, "regions_written": 2}
+    load_statistics(from_csv(raw(*lots[1])), cfg)
+    expected = {name: rebuilt(spark, cfg, name) for name in SUMMARIES}
+    untouched = next((tmp_path / "silver").rglob("region=us/trending_date_parsed=2024-01-01/part-*.parquet"))
+    kept = untouched.read_bytes()
+    untouched.write_bytes(b"no parquet")
+    (untouched.parent / f".{untouched.name}.crc").unlink(missing_ok=True)
+    assert refresh_gold(spark, cfg) == {"days_read": 1, "regions_written": 1}
+    untouched.write_bytes(kept)
+    assert {name: as_rows(table(spark, cfg.gold(name))) for name in SUMMARIES} == expected
+    assert refresh_gold(spark, cfg) == {"days_read": 0, "regions_written": 0}
+
+
+def test_new_names_need_no_facts(spark, cfg, raw):
+    load_statistics(from_csv(raw(video("a", "24.01.01"))), cfg)
+    refresh_gold(spark, cfg)
+    names = spark.createDataFrame([("10", "Film", "us")], "id string, snippet_title string, region string")
+    append(names, cfg.reference)
+    log_names(spark, cfg.changes)
+    assert refresh_gold(spark, cfg) == {"days_read": 0, "regions_written": 1}
+    assert [r.category_name for r in table(spark, cfg.gold("category_analytics")).collect()] == ["Film"]
+
+
+def test_a_refresh_that_dies_is_done_again(spark, cfg, raw, monkeypatch):
+    load_statistics(from_csv(raw(video("a", "24.01.01"))), cfg)
+    with monkeypatch.context() as broken:
+        broken.setattr(refresh_module, "channels_of", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh_gold(spark, cfg)
+    assert refresh_gold(spark, cfg)["days_read"] == 1
+    for name in SUMMARIES:
+        assert as_rows(table(spark, cfg.gold(name))) == rebuilt(spark, cfg, name)
+
+
+def test_a_batch_is_appended_once(spark, cfg, raw, monkeypatch):
+    cfg = replace(cfg, statistics_mode="append")
+    lots = [from_csv(raw(video("a", "24.01.01"), video("b", "24.02.01"))), from_csv(raw(video("a", "24.01.01")))]
+    for lot, load in ((0, "q-0"), (0, "q-0"), (1, "q-1"), (0, "q-0")):
+        load_inputs({"table": lots[lot]}, cfg, load)
+    found = sorted((r.video_id, r._load) for r in table(spark, cfg.statistics).collect())
+    assert found == [("a", "q-0"), ("a", "q-1"), ("b", "q-0")]
+    # A batch that dies after its rows, before its entry, and one that dies after some rows only.
+    real = ledger.note
+
+    def dying(spark, name, load, state):
+        if state == ledger.DONE:
+            raise RuntimeError("lost")
+        real(spark, name, load, state)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger, "note", dying)
+        with pytest.raises(RuntimeError, match="lost"):
+            load_inputs({"table": lots[0].where(F.col("video_id") == "a")}, cfg, "q-2")
+    load_inputs({"table": lots[0]}, cfg, "q-2")
+    found = sorted(r.video_id for r in table(spark, cfg.statistics).where("_load = 'q-2'").collect())
+    assert found == ["a", "b"]
+    # A run that is no stream's batch appends as often as it is run.
+    for _ in range(2):
+        load_statistics(lots[1], cfg)
+    assert table(spark, cfg.statistics).where("_load IS NULL").count() == 2

@@ -14,7 +14,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from tidestrata.config import DEFAULT_REGIONS, PipelineConfig, QualityRules
-from tidestrata.plans import bronze_to_silver, reference_to_silver, run_pipeline, silver_to_gold
+from tidestrata.plans import (
+    bronze_to_silver,
+    reference_to_silver,
+    refresh_gold,
+    run_pipeline,
+    silver_to_gold,
+)
 from tidestrata.plans.landing import land
 from tidestrata.plans.pipeline import checked
 from tidestrata.streaming import stream_categories, stream_statistics
@@ -22,7 +28,7 @@ from tidestrata.streaming import stream_categories, stream_statistics
 TEXT_OPTIONS = (
     "bronze_table", "csv_path", "api_path", "category_path", "csv_layout", "api_layout",
     "category_layout", "payload_table", "landing_path", "landing_source",
-    "silver_database", "gold_database", "statistics_table", "reference_table",
+    "silver_database", "gold_database", "statistics_table", "reference_table", "rejected_table",
     "statistics_mode", "gold_mode", "job_name",
 )
 RULE_OPTIONS = {
@@ -59,6 +65,7 @@ JOBS = {
     "reference-to-silver": reference,
     "check": gate,
     "silver-to-gold": silver_to_gold,
+    "refresh-gold": refresh_gold,
     "run": whole_run,
     "load-new-statistics": stream_statistics,
     "load-new-categories": stream_categories,

@@ -95,5 +95,15 @@ class PipelineConfig:
     def rejected(self) -> str:
         return f"{self.silver_database}.{self.rejected_table}"
 
+    @property
+    def changes(self) -> str:
+        """The log of region days that loads have touched."""
+        return f"{self.silver_database}.changed_days"
+
+    @property
+    def loads(self) -> str:
+        """The ledger of stream batches that have been appended."""
+        return f"{self.silver_database}.appended_loads"
+
     def gold(self, table: str) -> str:
         return f"{self.gold_database}.{table}"

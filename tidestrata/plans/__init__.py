@@ -3,10 +3,12 @@
 from tidestrata.plans.gold import silver_to_gold, summary_tables
 from tidestrata.plans.landing import land_raw
 from tidestrata.plans.pipeline import PipelineRun, run_pipeline
+from tidestrata.plans.refresh import refresh_gold
 from tidestrata.plans.silver import (
     bronze_to_silver,
     clean_statistics,
     load_categories,
+    load_inputs,
     load_statistics,
     reference_to_silver,
 )
@@ -17,8 +19,10 @@ __all__ = [
     "clean_statistics",
     "land_raw",
     "load_categories",
+    "load_inputs",
     "load_statistics",
     "reference_to_silver",
+    "refresh_gold",
     "run_pipeline",
     "silver_to_gold",
     "summary_tables",

@@ -17,7 +17,8 @@ from tidestrata.operators.cleanse import cleansed, stamped
 from tidestrata.operators.conform import statistics_record
 from tidestrata.operators.counts import clean_measures, observed, raw_measures
 from tidestrata.operators.latest import latest_records
-from tidestrata.sinks import append, merge_latest, overwrite_partitions
+from tidestrata.sinks import append, append_once, log_changes, log_names, merge_latest, overwrite_partitions
+from tidestrata.sinks.merge import discard, stored
 from tidestrata.sources import (
     accepted,
     api_input,
@@ -30,6 +31,7 @@ from tidestrata.sources import (
     table,
 )
 from tidestrata.sources.rejected import REASON
+from tidestrata.workspace import scratch_folder
 
 log = logging.getLogger(__name__)
 
@@ -77,17 +79,19 @@ def load_inputs(
 ) -> dict[str, int]:
     """Clean and write the good rows of marked frames, and set the others aside; gives the run's counts.
 
+    ``load`` names a batch of a stream, which may come again; a run of its own has none.
+
     Marked rows are counted on the side by the pass that writes the good ones. Only where there are any
     is the input read once more, to write them to the table of rejected input.
     """
-    load = load or run_name(cfg)
+    stream_load, load = load, load or run_name(cfg)
     kept = {name: keep_regions(frame, cfg.regions) for name, frame in inputs.items()}
     marked = [name for name, frame in kept.items() if REASON in frame.columns]
     if has_rows(raw_records(kept, cfg)):
         bad = F.count_if(F.col(REASON).isNotNull()).alias("bad")
         watched = {name: observed(kept[name], [bad]) for name in marked}
         counted = kept | {name: frame for name, (frame, _) in watched.items()}
-        counts = write_statistics(raw_records(counted, cfg), cfg)
+        counts = write_statistics(raw_records(counted, cfg), cfg, stream_load)
         marked = [name for name, (_, watch) in watched.items() if watch.get["bad"]]
         counts["rows_rejected"] = sum(watch.get["bad"] for _, watch in watched.values())
     else:
@@ -110,21 +114,35 @@ def load_statistics(records: DataFrame, cfg: PipelineConfig) -> dict[str, int]:
     return write_statistics(records, cfg)
 
 
-def write_statistics(records: DataFrame, cfg: PipelineConfig) -> dict[str, int]:
+def write_statistics(
+    records: DataFrame, cfg: PipelineConfig, load: str | None = None
+) -> dict[str, int]:
     """Clean ``records``, of which there are some, and write them.
 
-    Counts are observed while the rows are written, so nothing is computed twice for them.
+    The clean rows are computed once, into the shared folder, and their counts observed on the side. The
+    region days they touch are logged around the write, for ``refresh_gold``. In append mode a ``load``
+    that is named is appended once however often it comes.
     """
     if cfg.statistics_mode not in ("merge", "append"):
         raise ValueError(f"statistics_mode is merge or append, not {cfg.statistics_mode!r}")
+    spark = records.sparkSession
     records, read = observed(records, raw_measures())
     clean, kept = observed(
         clean_statistics(records, cfg.job_name, cfg.as_of), clean_measures()
     )
-    if cfg.statistics_mode == "append":
-        append(clean, cfg.statistics, cfg.statistics_partitions)
+    folder = scratch_folder(spark, "statistics")
+    clean = stored(clean, folder)
+    days = clean.select("region", "trending_date_parsed").distinct()
+    log_changes(days, cfg.changes)
+    if cfg.statistics_mode == "merge":
+        merge_latest(clean, cfg.statistics, cfg.statistics_partitions, at_rest=True)
+    elif load:
+        if not append_once(clean, cfg.statistics, cfg.loads, load, cfg.statistics_partitions):
+            log.info("%s has been appended before", load)
     else:
-        merge_latest(clean, cfg.statistics, cfg.statistics_partitions)
+        append(clean, cfg.statistics, cfg.statistics_partitions)
+    log_changes(days, cfg.changes)
+    discard(spark, folder)
     counts = read.get | kept.get
     for name, count in counts.items():
         if count and name.startswith(("null_", "negative_")):
@@ -145,7 +163,9 @@ def load_categories(documents: DataFrame, cfg: PipelineConfig, load: str | None
     """
     rows = reference_records(documents, cfg.as_of)
     if has_rows(rows):
+        log_names(rows.sparkSession, cfg.changes)
         overwrite_partitions(rows, cfg.reference, ["region"])
+        log_names(rows.sparkSession, cfg.changes)
     rejected = refused_documents(documents)
     if has_rows(rejected):
         log.warning("category documents could not be read; see %s", cfg.rejected)

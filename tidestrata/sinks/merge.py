@@ -60,9 +60,13 @@ def merge_latest(
     name: str,
     partition_by: Sequence[str],
     key: Sequence[str] = RECORD_KEY,
+    *,
+    at_rest: bool = False,
 ) -> None:
     """Put ``records``, one per key, into the table; per key the newest record stays.
 
+    Records ``at_rest`` are read from files already and need not be staged.
+
     Only partitions that get new rows are read and rewritten. The merged rows are complete in the
     shared folder before the first partition is replaced: a job that ends before that leaves the
     table as it was, and one whose driver ends during it leaves the staged rows there to load with
@@ -77,7 +81,8 @@ def merge_latest(
         return
     # A folder of its own, so that runs for tables of the same name cannot meet in it.
     folder = f"{shared_folder(spark)}/merge/{name.replace('.', '/')}/{uuid.uuid4().hex}"
-    incoming = stored(evolve(records, name), f"{folder}/incoming")
+    incoming = evolve(records, name)
+    incoming = incoming if at_rest else stored(incoming, f"{folder}/incoming")
     touched = incoming.select(*partition_by).distinct()
     current = only_partitions(table(spark, name), touched, partition_by)
     merged = latest_records(current.unionByName(incoming), key)

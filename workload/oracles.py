@@ -103,6 +103,18 @@ CHANNELS = f"""WITH {SILVER},
   SELECT *, row_number() OVER (PARTITION BY region ORDER BY total_views DESC, channel_title)::int
     AS rank_in_region"""
 
+DAYS = f"""WITH {SILVER}
+      SELECT region, trending_date_parsed::varchar AS trending_date_parsed,
+        count(video_id) AS total_videos, sum(views)::bigint AS total_views,
+        sum(likes)::bigint AS total_likes, sum(dislikes)::bigint AS total_dislikes,
+        sum(comment_count)::bigint AS total_comments,
+        sum(views)::double / count(views) AS avg_views_per_video,
+        sum(like_ratio::decimal(30,4))::double / count(*) AS avg_like_ratio,
+        sum(engagement_rate::decimal(30,4))::double / count(*) AS avg_engagement_rate,
+        max(views) AS max_views, count(DISTINCT channel_title) AS unique_channels,
+        count(DISTINCT category_id) AS unique_categories
+      FROM silver"""
+
 # Documents made from raw records list a record twice when it has likes.
 ITEMS = f"""{FACTS},
 items AS (
@@ -265,17 +277,9 @@ ORACLES: dict[str, str] = {
     "category_join": f"""WITH {CLEAN}
       SELECT video_id, region, publish_time, category_id, {NAMED} AS category_name
       FROM clean {LOOKUP_JOIN}""",
-    "trending_analytics": f"""WITH {SILVER}
-      SELECT region, trending_date_parsed::varchar AS trending_date_parsed,
-        count(video_id) AS total_videos, sum(views)::bigint AS total_views,
-        sum(likes)::bigint AS total_likes, sum(dislikes)::bigint AS total_dislikes,
-        sum(comment_count)::bigint AS total_comments,
-        sum(views)::double / count(views) AS avg_views_per_video,
-        sum(like_ratio::decimal(30,4))::double / count(*) AS avg_like_ratio,
-        sum(engagement_rate::decimal(30,4))::double / count(*) AS avg_engagement_rate,
-        max(views) AS max_views, count(DISTINCT channel_title) AS unique_channels,
-        count(DISTINCT category_id) AS unique_categories
-      FROM silver GROUP BY region, trending_date_parsed""",
+    "trending_analytics": f"""{DAYS} GROUP BY region, trending_date_parsed""",
+    "refreshed_days": f"""{DAYS.replace('FROM silver', ", '2024-02-01 09:30:00' AS _aggregated_at FROM silver")}
+      GROUP BY region, trending_date_parsed""",
     "channel_analytics": f"{CHANNELS} FROM grouped",
     "category_analytics": category_trends(NAMED, LOOKUP_JOIN),
     "rank_in_group": f"""WITH {CLEAN}
@@ -406,6 +410,16 @@ ORACLES: dict[str, str] = {
       GROUP BY r_name""",
     "incremental_silver": f"WITH {SILVER} {STAMPED}",
     "incremental_any_file": f"WITH {SILVER} {STAMPED}",
+    "incremental_gold": f"""{CHANNELS}, '2024-02-01 09:30:00' AS _aggregated_at,
+        (SELECT count(*) FROM (SELECT DISTINCT region, trending_date_parsed FROM clean
+          WHERE NOT (trending_date LIKE '13.%' AND views % 2 = 0))) AS days_first,
+        (SELECT count(*) FROM (SELECT DISTINCT region, trending_date_parsed FROM clean
+          WHERE trending_date LIKE '13.%' AND views % 2 = 0)) AS days_second
+      FROM grouped""",
+    "append_redelivered": f"""WITH {SILVER}
+      SELECT region, CASE WHEN length(title) % 2 = 0 THEN 'stream-0' ELSE 'stream-1' END AS load,
+        count(*) AS records, sum(views)::bigint AS total_views
+      FROM silver GROUP BY ALL""",
     "rejected_input": f"""WITH {FACTS},
       lines AS (
         SELECT 'csv' AS source, region, 'fields do not match the header' AS reason, 1 AS records,

@@ -42,8 +42,10 @@ from tidestrata.plans import (
     bronze_to_silver,
     clean_statistics,
     land_raw,
+    load_inputs,
     load_statistics,
     reference_to_silver,
+    refresh_gold,
     run_pipeline,
 )
 from tidestrata.sinks import append, overwrite_partitions
@@ -704,6 +706,49 @@ def incremental_any_file(spark, folder):
     return table(spark, cfg.statistics)
 
 
+@query
+def incremental_gold(spark, folder):
+    """Summaries refreshed after each of two lots, of which the second touches the days of one year."""
+    cfg = replace(run_config(spark, "refreshed"), statistics_partitions=("region",))
+    append(categories(spark, folder), cfg.reference)
+    records = appearances(spark, folder)
+    late = F.col("trending_date").startswith("13.") & (F.col("views") % 2 == 0)
+    days = []
+    for lot in (records.where(~late), records.where(late)):
+        load_statistics(lot, cfg)
+        days.append(refresh_gold(spark, cfg)["days_read"])
+    return table(spark, cfg.gold("channel_analytics")).withColumns(
+        {"days_first": F.lit(days[0]).cast("bigint"), "days_second": F.lit(days[1]).cast("bigint")}
+    )
+
+
+@query
+def refreshed_days(spark, folder):
+    """Daily trends from partials of days, those of one year built again after a second lot."""
+    cfg = replace(run_config(spark, "days"), statistics_partitions=("region",))
+    records = appearances(spark, folder)
+    late = F.col("trending_date").startswith("12.") & (F.col("views") % 2 == 1)
+    for lot in (records.where(~late), records.where(late)):
+        load_statistics(lot, cfg)
+        refresh_gold(spark, cfg)
+    return table(spark, cfg.gold("trending_analytics"))
+
+
+@query
+def append_redelivered(spark, folder):
+    """A stream's batch delivered twice in append mode, and another batch: each adds its rows once."""
+    cfg = replace(
+        run_config(spark, "redelivered"), statistics_mode="append", statistics_partitions=("region",)
+    )
+    records = appearances(spark, folder)
+    even = F.length("title") % 2 == 0
+    lots = {"stream-0": records.where(even), "stream-1": records.where(~even)}
+    for load in ("stream-0", "stream-0", "stream-1", "stream-0"):
+        load_inputs({"table": lots[load]}, cfg, load)
+    counts = [F.count(F.lit(1)).alias("records"), F.sum("views").alias("total_views")]
+    return table(spark, cfg.statistics).groupBy("region", F.col("_load").alias("load")).agg(*counts)
+
+
 @query
 def rejected_input(spark, folder):
     """Rows with a field too many and documents that break off are set aside; the others are cleaned."""
