@@ -38,23 +38,28 @@ def stored(frame: DataFrame, kind: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-#: Spark's setting to remove a query's shuffle files when the query ends.
+#: Spark's settings to remove a query's shuffle files when it ends, and for the rows Python gets at a time.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def staged(frame: DataFrame, kind: str) -> DataFrame:
+def staged(frame: DataFrame, kind: str, arrow_rows: int | None = None) -> DataFrame:
     """As `stored`; what the write has shuffled is removed when it is done.
 
     For operators of many steps, whose shuffle files would otherwise lie on the executors' disks until
-    the driver forgets the steps.
+    the driver forgets the steps. Steps that give whole texts to Python pass ``arrow_rows``, so that
+    few long ones are in memory at a time.
     """
     settings = frame.sparkSession.conf
-    before = settings.get(CLEANUP, "false")
-    settings.set(CLEANUP, "true")
+    own = {CLEANUP: "true"} | ({ARROW_ROWS: str(arrow_rows)} if arrow_rows else {})
+    before = {name: settings.get(name, None) for name in own}
+    for name, value in own.items():
+        settings.set(name, value)
     try:
         return stored(frame, kind)
     finally:
-        settings.set(CLEANUP, before)
+        for name, value in before.items():
+            settings.set(name, value) if value is not None else settings.unset(name)
 
 
 def dropped(*frames: DataFrame) -> None:

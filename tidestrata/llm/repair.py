@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidestrata.llm.common import stored
+from tidestrata.llm.common import staged
 from tidestrata.operators.rank import with_rank
 
 #: What edits cost, and what a turn that breaks off adds if it stays.
@@ -228,7 +228,7 @@ def ordered_turns(turns: DataFrame) -> DataFrame:
     conversation nor a row with a third of all copies is one task's.
     """
     same = turns.groupBy("key", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    same = stored(same, "turns")
+    same = staged(same, "turns")
     earliest = same.groupBy("key", "role", "text").agg(F.min(F.struct("turn")).alias("earliest"))
     told = same.join(earliest, ["key", "role", "text"])
     copies = told.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("copy"))
@@ -266,7 +266,7 @@ def repaired(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     placed = ordered_turns(turns)
     repairs = conversation_letters(placed).mapInArrow(repaired_rows(GROUP), _REPAIRS)
-    repairs = stored(repairs, "repairs")
+    repairs = staged(repairs, "repairs")
     steps = repairs.select(
         "key", F.posexplode(F.arrays_zip("places", "given")).alias("part", "step"), "audit"
     ).select(

@@ -23,9 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestrata.llm.common import stored, unused
+from tidestrata.llm.common import dropped, staged, unused
 from tidestrata.operators.bounds import broadcast_if_small
-from tidestrata.sinks.merge import discard
 
 #: Bytes of a string that counts as repeated.
 LENGTH = 200
@@ -37,6 +36,8 @@ BATCHES = 4
 OWNED = 20_000
 #: Distinct contexts of one sequence beyond which its strings are dealt out one by one.
 HOT_CONTEXTS = 50_000
+#: Texts that Python gets at a time.
+TEXTS = 256
 #: Strings looked at in one go.
 STRIDE = 1 << 20
 
@@ -143,33 +144,27 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def contexts(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(k1, k2, gram, start, digest, context, before) of every anchor whose sequence another one has."""
     keyed = _keyed(docs, id, text)
-    found = stored(
-        keyed.mapInArrow(_anchor_rows, "k1 long, k2 long, gram long, place long"), "anchors"
-    )
+    found = keyed.mapInArrow(_anchor_rows, "k1 long, k2 long, gram long, place long")
+    found = staged(found, "anchors", TEXTS)
+    # Stored, so that the join below has a plain shuffle on each side, whose large partitions Spark splits.
     twice = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    twice = staged(twice, "repeated-grams")
     listed = (
         found.join(twice, "gram", "left_semi")
         .groupBy("k1", "k2")
         .agg(F.collect_set(F.struct("gram", "place")).alias("anchors"))
     )
-    listed = stored(listed, "repeated-anchors")
+    listed = staged(listed, "repeated-anchors")
     some = keyed.join(broadcast_if_small(listed.select("k1", "k2")), ["k1", "k2"], "left_semi")
     cut = some.join(listed, ["k1", "k2"]).mapInArrow(
         _context_rows,
         "k1 long, k2 long, gram long, start long, digest binary, context binary, before int",
     )
-    cut = stored(cut, "contexts")
-    _drop(found, listed)
+    cut = staged(cut, "contexts", TEXTS)
+    dropped(found, twice, listed)
     return cut
 
 
-def _drop(*frames: DataFrame) -> None:
-    """Delete stored tables that are not read again."""
-    for frame in frames:
-        for file in frame.inputFiles()[:1]:
-            discard(frame.sparkSession, file.rpartition("/")[0])
-
-
 def _common(sequences: list[bytes]) -> np.ndarray:
     """Bytes that each sequence has in common with the one before it; the first has none."""
     width = max(map(len, sequences))
@@ -315,7 +310,7 @@ def scanned(pieces: DataFrame, batches: int = BATCHES, owned: int = OWNED) -> Da
         rows = reduce(DataFrame.unionByName, [frame for _, _, frame in levels + joined], fresh)
         numbers = frozenset(n for n, _, _ in joined) if len(joined) > 1 else frozenset()
         add = _added(numbers, into, number)
-        made = stored(rows.groupBy("owner").applyInArrow(add, _COLUMNS), "levels")
+        made = staged(rows.groupBy("owner").applyInArrow(add, _COLUMNS), "levels")
         levels += [(into, size, made.where(F.col("level") == into))] if numbers else joined
         levels.append((number, 1, made.where(F.col("level") == number)))
         found = made.where(F.col("level") == FLAGS).select("digest", "low", "high")
@@ -350,14 +345,14 @@ def repeats(
     own hash, so no owner gets them all.
     """
     cut = contexts(docs, id, text)
-    pieces = stored(_combined(cut, batches), "pieces")
+    pieces = staged(_combined(cut, batches), "pieces")
     crowded = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
-    crowded = stored(crowded.select("gram"), "crowded")
+    crowded = staged(crowded.select("gram"), "crowded")
     if crowded.isEmpty():
         bits = scanned(pieces, batches, owned)
     else:
         single = _singles(pieces.join(broadcast_if_small(crowded), "gram", "left_semi"))
-        single = stored(single, "strings")
+        single = staged(single, "strings")
         own = single.groupBy("batch", "digest").agg(
             F.first("gram").alias("gram"),
             F.first("context").alias("context"),
@@ -365,7 +360,7 @@ def repeats(
             F.sum("copies").alias("copies"),
         )
         rest = pieces.join(broadcast_if_small(crowded), "gram", "left_anti")
-        bits = scanned(stored(rest.unionByName(own), "pieces"), batches, owned)
+        bits = scanned(staged(rest.unionByName(own), "pieces"), batches, owned)
         back = single.select("digest", "parent").distinct().join(bits, "digest")
         back = back.groupBy(F.col("parent").alias("digest")).agg(
             F.bit_or("low").alias("low"), F.bit_or("high").alias("high")
@@ -374,7 +369,7 @@ def repeats(
     marks = F.collect_list(F.struct("start", "low", "high")).alias("marks")
     placed = cut.select("k1", "k2", "start", "digest").join(bits, "digest").groupBy("k1", "k2").agg(marks)
     found = placed.mapInArrow(_span_rows, "k1 long, k2 long, spans array<struct<start long, stop long>>")
-    return stored(found, "spans")
+    return staged(found, "spans")
 
 
 def _singles(pieces: DataFrame) -> DataFrame:
