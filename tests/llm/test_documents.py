@@ -61,6 +61,37 @@ def test_collisions_are_told_apart_by_bytes(documents, monkeypatch):
     assert sorted(map(tuple, hash_index.exact_duplicates(documents(rows)).collect())) == brute_copies(rows)
 
 
+def test_the_index_decides(documents, monkeypatch):
+    """A directory without its first bucket loses that bucket's texts; one split in two keeps all."""
+    rows = [(i, f"text {i % 40}") for i in range(200)]
+    monkeypatch.setattr(hash_index, "BUCKET_HASHES", 5)
+    real = hash_index.directory
+
+    def broken(keys, capacity):
+        leaves, depth = real(keys, 5)
+        return leaves.where("prefix > 0"), depth
+
+    def small(keys, capacity):
+        return real(keys, 5)
+
+    monkeypatch.setattr(hash_index, "directory", small)
+    expected = brute_copies(rows)
+    assert sorted(map(tuple, hash_index.exact_duplicates(documents(rows)).collect()), key=str) == expected
+    monkeypatch.setattr(hash_index, "directory", broken)
+    lost = sorted(map(tuple, hash_index.exact_duplicates(documents(rows)).collect()), key=str)
+    assert lost != expected and set(lost) < set(expected)
+
+
+def test_owners_have_key_ranges_and_chain_without_another_shuffle(documents):
+    """Every owner's hashes lie between those of its neighbours, and grouping follows dealing in one stage."""
+    rows, index = hash_index.duplicate_index(documents([(i, f"text {i % 60}") for i in range(240)]), "doc_id", "text", 4)
+    own = defaultdict(list)
+    for row in index.collect():
+        own[row.owner].append(row.key % 2**64)
+    ordered = [(min(own[o]), max(own[o])) for o in sorted(own)]
+    assert len(ordered) > 3 and all(a[1] < b[0] for a, b in zip(ordered, ordered[1:]))
+
+
 @pytest.mark.parametrize("capacity", [1, 3, 1000])
 def test_directory(spark, capacity):
     rng = random.Random(3)

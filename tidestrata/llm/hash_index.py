@@ -2,8 +2,10 @@
 
 The directory maps the leading bits of a text's 64-bit hash to buckets. It starts as one bucket;
 a bucket with more than its share of distinct hashes is split, doubling the directory where it has
-to. Buckets are ranges of hashes, each owned by one task, which writes them in hash order. Texts
-that meet under one hash form a chain, and the chain's entries are told apart by their bytes.
+to. Buckets are ranges of hashes. Texts are dealt by the directory: an owner task gets the buckets of a
+range of hashes, chains the texts that meet under one hash, tells the chain's entries apart by their
+bytes, and writes for each text which row stays and how many there are. What becomes of a row is read
+from there.
 """
 
 from __future__ import annotations
@@ -15,7 +17,11 @@ from tidestrata.llm.common import ascii_lower, stored, unused
 from tidestrata.operators.bounds import broadcast_if_small
 
 #: Distinct hashes a bucket holds before it is split.
-BUCKET_HASHES = 50_000
+BUCKET_HASHES = 10_000
+#: Leading bits of a hash that at most tell owners apart; an owner may have many buckets.
+OWNER_BITS = 13
+#: Entries that the rows of one text are combined into before they are dealt.
+SALTS = 16
 #: Leading bits a round of splitting looks at.
 ROUND_BITS = 12
 HASH_BITS = 64
@@ -94,13 +100,20 @@ def text_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
+def owner_of(depth: int) -> tuple[Column, int]:
+    """The owner of a bucket, by the first hash of its range, and the number of owners."""
+    bits = min(depth, OWNER_BITS)
+    first = F.expr(f"shiftleft(bucket, {depth} - bucket_depth)")
+    return F.shiftrightunsigned(first, depth - bits).cast("int").alias("owner"), 1 << bits
+
+
 def duplicate_index(docs: DataFrame, id: str, text: str, capacity: int = BUCKET_HASHES):
     """(rows, index): the stored rows (id, key, sha, copies) and index of ``docs``.
 
-    The index has one entry per distinct text: bucket, key, sha, keep_id, group_size. Rows equal in
-    id and text are one row with their number as ``copies``. Texts alone under their hash need no
-    comparison; for the others, copies are combined by hash and bytes before the shuffle, so a text
-    that a third of all rows share costs one entry per task.
+    The index has one entry per distinct text: owner, bucket, key, sha, keep_id, group_size. Rows equal
+    in id and text are one row with their number as ``copies``. A text alone under its hash comes
+    without its bytes, as there is nothing to compare it with. The rows of any other are combined into at
+    most `SALTS` entries before they are dealt, so that one with a third of all rows makes no large group.
     """
     texts = text_rows(docs, id, text)
     rows = stored(texts.groupBy("id", "key", "sha").agg(F.count(F.lit(1)).alias("copies")), "rows")
@@ -110,15 +123,23 @@ def duplicate_index(docs: DataFrame, id: str, text: str, capacity: int = BUCKET_
         ),
         "hashes",
     )
-    alone = keys.where(F.col("group_size") == 1).select("key", "sha", "keep_id", "group_size")
+    nothing = F.lit(None).cast("string").alias("normal")
+    alone = keys.where(F.col("group_size") == 1).select("key", nothing, "sha", "keep_id", "group_size")
     chained = broadcast_if_small(keys.where(F.col("group_size") > 1).select("key"))
-    chains = texts.join(chained, "key", "left_semi").groupBy("key", "normal", "sha").agg(
+    salt = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(1)), F.lit(SALTS)).alias("salt")
+    chains = texts.join(chained, "key", "left_semi").groupBy("key", "normal", "sha", salt).agg(
         F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
     leaves, depth = directory(keys, capacity)
-    entries = with_bucket(chains.drop("normal").unionByName(alone), leaves, depth)
-    owned = entries.repartition("bucket_depth", "bucket").sortWithinPartitions("bucket", "key")
-    return rows, stored(owned, "index")
+    owner, owners = owner_of(depth)
+    entries = with_bucket(chains.drop("salt").unionByName(alone), leaves, depth).select("*", owner)
+    # Dealt by owner, equal texts are in one task, where the rest happens without another shuffle.
+    dealt = entries.repartitionById(owners, F.col("owner"))
+    told = dealt.groupBy("owner", "bucket_depth", "bucket", "key", "normal", "sha").agg(
+        F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
+    )
+    index = told.drop("normal").sortWithinPartitions("owner", "bucket", "key")
+    return rows, stored(index, "index")
 
 
 def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -130,15 +151,13 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     An empty input gives an empty result; other columns are not read.
     """
     rows, index = duplicate_index(docs, id, text)
-    groups = index.where(F.col("group_size") > 1).select("key", "sha", "keep_id", "group_size")
-    joined = rows.join(groups, ["key", "sha"], "left")
+    joined = rows.join(index.select("key", "sha", "keep_id", "group_size"), ["key", "sha"])
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")
-    alone = F.col("group_size").isNull()
     return joined.select("*", copy).select(
         "id",
-        F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
-        ((F.col("copy") == 1) & (alone | F.col("id").eqNullSafe(F.col("keep_id")))).alias("kept"),
+        "keep_id",
+        "group_size",
+        ((F.col("copy") == 1) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
