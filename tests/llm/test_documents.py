@@ -220,6 +220,18 @@ def test_contaminated(spark, documents, block_bytes):
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
 
+def test_words_are_found_whatever_their_case(spark):
+    """The word has to stand alone in lower case; a named rule's path is compared as it is."""
+    urls = ["http://a.net/CASINO/play", "http://a.net/casino", "http://a.net/Xcasino", "http://a.net/xCASINOs", "http://b.org/EN/1"]
+    rules = url_rules.rule_table(spark, [("block", "b.org/en/1")])
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    found = {r.url: (r.pattern_rule, r.verdict, r.path) for r in url_rules.judged(pages, rules).collect()}
+    assert [found[u] for u in urls] == [
+        ("casino", "block", "/CASINO/play"), ("casino", "block", "/casino"), (None, "allow", "/Xcasino"),
+        (None, "allow", "/xCASINOs"), (None, "allow", "/EN/1"),
+    ]
+
+
 def test_url_rules(spark):
     urls = [
         "http://Blog.Example.org/en/1234?x#y", "https://example.org/en/2", "http://notexample.org/es/", "http://a.example.org/es/x",

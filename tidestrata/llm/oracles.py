@@ -20,7 +20,7 @@ WITH placed AS (
   SELECT s.*, (SELECT max((length(rule), rule, verdict)) FROM rules
       WHERE (s.host = rule_host OR ends_with(s.host, '.' || rule_host)) AND starts_with(s.path, rule_path)) AS best,
     (SELECT max((length(w), w)) FROM (VALUES ('casino'), ('porn'), ('xxx'), ('viagra')) AS v(w)
-      WHERE regexp_matches(s.host || s.path, '(^|[^a-z0-9])' || w || '($|[^a-z0-9])')) AS pattern
+      WHERE regexp_matches(s.host || {LOWER.format('s.path')}, '(^|[^a-z0-9])' || w || '($|[^a-z0-9])')) AS pattern
   FROM split s
 )
 SELECT page_id, host, path, best[2] AS rule,

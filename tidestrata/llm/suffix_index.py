@@ -346,6 +346,9 @@ def repeats(
     """
     cut = contexts(docs, id, text)
     pieces = staged(_combined(cut, batches), "pieces")
+    # From here on the bytes are needed once per distinct context, and of each occurrence its place alone.
+    places = staged(cut.select("k1", "k2", "start", "digest"), "places")
+    dropped(cut)
     crowded = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
     crowded = staged(crowded.select("gram"), "crowded")
     if crowded.isEmpty():
@@ -366,8 +369,10 @@ def repeats(
             F.bit_or("low").alias("low"), F.bit_or("high").alias("high")
         )
         bits = bits.unionByName(back)
+    # Stored, so that a context with a third of all occurrences is a skewed partition that Spark splits.
+    bits = staged(bits, "bits")
     marks = F.collect_list(F.struct("start", "low", "high")).alias("marks")
-    placed = cut.select("k1", "k2", "start", "digest").join(bits, "digest").groupBy("k1", "k2").agg(marks)
+    placed = places.join(bits, "digest").groupBy("k1", "k2").agg(marks)
     found = placed.mapInArrow(_span_rows, "k1 long, k2 long, spans array<struct<start long, stop long>>")
     return staged(found, "spans")
 

@@ -38,7 +38,7 @@ def site_rule(verdict: str, site: str) -> tuple:
 
 
 def word_rule(word: str, verdict: str) -> tuple:
-    """A rule for a word that stands alone in host or path."""
+    """A rule for a word that stands alone in host or path, whatever its case there."""
     return word, rf"(^|[^a-z0-9]){re.escape(word)}($|[^a-z0-9])", [word], verdict, False
 
 
@@ -107,7 +107,9 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
     candidates = places.select("place", F.explode(tokens_of(F.col("place"))).alias("key")).join(
         broadcast_if_small(index), "key"
     )
-    matching = candidates.where(F.regexp_like("place", F.col("pattern")))
+    # Paths of named rules are case-sensitive; words are sought as tokens are, in lower case.
+    seen = F.when(F.col("named"), F.col("place")).otherwise(ascii_lower(F.col("place")))
+    matching = candidates.where(F.regexp_like(seen, F.col("pattern")))
     choice = F.struct(F.length("rule").alias("length"), "rule", "verdict")
     found = (
         matching.groupBy("place")
