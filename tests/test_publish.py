@@ -1,0 +1,67 @@
+"""Summary tables published by one switch."""
+
+
+import pytest
+
+from tidestrata.operators.conform import from_csv
+from tidestrata.plans import load_statistics, silver_to_gold
+from tidestrata.sinks import append, publish
+from tidestrata.sinks.versions import ROWS, VERSION
+from tidestrata.sources import table
+
+SUMMARIES = ("trending_analytics", "channel_analytics", "category_analytics")
+
+
+def totals(spark, cfg):
+    return {
+        name: sorted((r.region, r.total_views) for r in table(spark, cfg.gold(name)).collect())
+        for name in SUMMARIES
+    }
+
+
+def test_a_run_that_dies_between_tables_leaves_the_old_three(spark, cfg, raw, monkeypatch):
+    import tidestrata.sinks.versions as module
+
+    load_statistics(from_csv(raw({"views": "5"}, {"views": "7", "region": "ca"})), cfg)
+    silver_to_gold(spark, cfg)
+    before = totals(spark, cfg)
+    assert all(set(rows) == {("us", 5), ("ca", 7)} for rows in before.values())
+    load_statistics(from_csv(raw({"views": "50", "publish_time": "2018"})), cfg)
+    written = []
+
+    def dying(frame, name, partitions):
+        written.append(name)
+        if len(written) == 3:
+            raise RuntimeError("lost")
+        append(frame, name, partitions)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(module, "append", dying)
+        with pytest.raises(RuntimeError, match="lost"):
+            silver_to_gold(spark, cfg)
+    assert totals(spark, cfg) == before
+    silver_to_gold(spark, cfg)
+    after = totals(spark, cfg)
+    assert all(set(rows) == {("us", 50), ("ca", 7)} for rows in after.values())
+
+
+def test_old_versions_go_and_untouched_regions_stay(spark, cfg):
+    names = [cfg.gold("a"), cfg.gold("b")]
+    for n in range(4):
+        rows = [("us", n), ("o'x", n)] if n < 3 else [("us", n)]
+        frame = spark.createDataFrame(rows, "region string, v int")
+        publish({names[0]: frame, names[1]: frame.selectExpr("v AS w", "region")}, cfg.gold_database)
+    for name, column in zip(names, "vw"):
+        assert {(r["region"], r[column]) for r in table(spark, name).collect()} == {("us", 3), ("o'x", 2)}
+        kept = table(spark, f"{name}{ROWS}").groupBy("region").count().collect()
+        assert {(r["region"], r["count"]) for r in kept} == {("us", 2), ("o'x", 2)}
+    assert VERSION not in table(spark, names[0]).columns
+
+
+def test_a_plain_table_gives_way_and_new_columns_show(spark, cfg):
+    name = cfg.gold("a")
+    append(spark.createDataFrame([("us", 1)], "region string, v int"), name)
+    publish({name: spark.createDataFrame([("us", 2)], "region string, v int")}, cfg.gold_database)
+    wider = spark.createDataFrame([("ca", 3, "x")], "region string, v int, more string")
+    publish({name: wider}, cfg.gold_database)
+    assert {(r.region, r.v, r.more) for r in table(spark, name).collect()} == {("us", 2, None), ("ca", 3, "x")}

@@ -14,7 +14,7 @@ from tidestrata.operators.summaries import (
     channel_performance,
     daily_trends,
 )
-from tidestrata.sinks import append, overwrite_partitions
+from tidestrata.sinks import append, publish
 from tidestrata.sources import has_rows, optional_table, table
 
 log = logging.getLogger(__name__)
@@ -40,15 +40,19 @@ def summary_tables(
 
 
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
-    """Build and write the summary tables; gives their names, none without statistics."""
+    """Build and write the summary tables; gives their names, none without statistics.
+
+    They are published together: a run that dies before its end leaves all three as they were.
+    """
     facts = table(spark, cfg.statistics)
     if not has_rows(facts):
         log.warning("no statistics in %s", cfg.statistics)
         return []
-    reference = optional_table(spark, cfg.reference)
-    write = append if cfg.gold_mode == "append" else overwrite_partitions
-    written = []
-    for name, frame in summary_tables(facts, reference, cfg).items():
-        write(frame, cfg.gold(name), ["region"])
-        written.append(cfg.gold(name))
-    return written
+    tables = summary_tables(facts, optional_table(spark, cfg.reference), cfg)
+    named = {cfg.gold(name): frame for name, frame in tables.items()}
+    if cfg.gold_mode == "append":
+        for name, frame in named.items():
+            append(frame, name, ["region"])
+    else:
+        publish(named, cfg.gold_database)
+    return list(named)

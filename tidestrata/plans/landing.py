@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from tidestrata.operators.landing import assessed, by_kind, manifest, stamped_do
 from tidestrata.sinks.merge import discard, stored
 from tidestrata.sinks.tables import PER_PARTITION, spread
 from tidestrata.sources import table
-from tidestrata.workspace import shared_folder
+from tidestrata.workspace import scratch_folder
 
 # The raw folders.
 TRENDING_FOLDER = "raw_statistics"
@@ -33,7 +32,7 @@ def land_raw(
     """
     as_of = as_of or datetime.now(timezone.utc)
     spark = payloads.sparkSession
-    folder = f"{shared_folder(spark)}/landing/{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "landing")
     trending, categories = by_kind(stored(assessed(payloads), f"{folder}/assessed"))
 
     folders = ["region", "date", "hour"]

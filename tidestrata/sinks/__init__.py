@@ -3,6 +3,7 @@
 from tidestrata.sinks.ledger import append_once, log_changes, log_names
 from tidestrata.sinks.merge import merge_latest
 from tidestrata.sinks.tables import append, evolve, overwrite_partitions
+from tidestrata.sinks.versions import publish
 
 __all__ = [
     "append",
@@ -12,4 +13,5 @@ __all__ = [
     "log_names",
     "merge_latest",
     "overwrite_partitions",
+    "publish",
 ]
