@@ -60,8 +60,10 @@ def test_old_versions_go_and_untouched_regions_stay(spark, cfg):
 
 def test_a_plain_table_gives_way_and_new_columns_show(spark, cfg):
     name = cfg.gold("a")
-    append(spark.createDataFrame([("us", 1)], "region string, v int"), name)
+    append(spark.createDataFrame([("us", 1), ("gb", 9)], "region string, v int"), name)
     publish({name: spark.createDataFrame([("us", 2)], "region string, v int")}, cfg.gold_database)
     wider = spark.createDataFrame([("ca", 3, "x")], "region string, v int, more string")
     publish({name: wider}, cfg.gold_database)
-    assert {(r.region, r.v, r.more) for r in table(spark, name).collect()} == {("us", 2, None), ("ca", 3, "x")}
+    assert {(r.region, r.v, r.more) for r in table(spark, name).collect()} == {
+        ("us", 2, None), ("ca", 3, "x"), ("gb", 9, None)
+    }
