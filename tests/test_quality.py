@@ -8,6 +8,7 @@ from tidestrata.config import QualityRules
 from tidestrata.operators.quality import check_table, check_tables, verdict
 from tidestrata.schemas import CHECK_RESULT
 from tidestrata.sinks import append
+from tidestrata.sources import bounded_sample
 
 def statistics(spark, rows=20, **columns):
     frame = spark.range(rows).select(
@@ -152,3 +153,13 @@ def test_schema_check_reads_no_rows(spark):
     unread = spark.range(10).select(F.raise_error(F.lit("read")).alias("id"), F.lit("a").alias("region"))
     found = check_table(unread, "reference_data", as_of=AS_OF, checks=["schema"]).collect()
     assert [r.passed for r in found] == [True]
+
+
+def test_a_sample_by_key_is_the_same_however_rows_lie(spark):
+    frame = spark.range(3000).selectExpr("id", "IF(id % 3 = 0, NULL, id) AS v")
+    picked = [
+        sorted(r.id for r in bounded_sample(f, 100, ["id"]).collect())
+        for f in (frame, frame.repartition(7), frame.orderBy(F.col("id").desc()))
+    ]
+    assert picked[0] == picked[1] == picked[2] and len(picked[0]) == 100
+    assert 15 < sum(i % 3 == 0 for i in picked[0]) < 55

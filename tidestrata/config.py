@@ -23,7 +23,10 @@ RANGE_CHECKED_TABLE = "clean_statistics"
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Thresholds of the quality gate; ``sample_rows`` limits the rows looked at."""
+    """Thresholds of the quality gate; ``sample_rows`` limits the rows looked at.
+
+    With ``sample_key`` the sample is the same in every run (``sources.tables.bounded_sample``).
+    """
 
     # The gate's default limits.
     min_rows: int = 10
@@ -34,6 +37,7 @@ class QualityRules:
         default_factory=lambda: dict(CRITICAL_COLUMNS)
     )
     sample_rows: int | None = None
+    sample_key: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

@@ -210,7 +210,7 @@ def check_table(
     """The result rows of ``checks`` for one table; only the columns they need are read."""
     rules = rules or QualityRules()
     if rules.sample_rows is not None:
-        frame = bounded_sample(frame, rules.sample_rows)
+        frame = bounded_sample(frame, rules.sample_rows, rules.sample_key)
     now = instant(as_of)
     built = [BUILDERS[check](frame, name, rules, now) for check in checks]
     measures = {}

@@ -346,6 +346,21 @@ ORACLES: dict[str, str] = {
     + "".join(
         f"UNION ALL SELECT 'null_pct', '{c}', 0::double, n > 0 FROM sampled " for c in CRITICAL
     ),
+    "dq_sample_by_key": f"""WITH {FACTS},
+      sampled AS (
+        SELECT * FROM facts
+        ORDER BY md5(video_id || '|' || region || '|' || publish_time || '|' || channel_title || '|'
+            || views::varchar || '|' || comment_count::varchar || '|' || dislikes::varchar),
+          video_id, region, publish_time, channel_title, views, comment_count, dislikes
+        LIMIT 2000)
+      SELECT 'row_count' AS "check", NULL::varchar AS "column", count(*)::double AS value,
+        count(*) >= 10 AS passed FROM sampled
+      """
+    + "".join(
+        f"""UNION ALL SELECT 'null_pct', '{c}', round_even(pct, 2)::double, pct <= 5
+        FROM (SELECT count_if({c} IS NULL)::double / count(*) * 100 AS pct FROM sampled) """
+        for c in ("likes", "title", "views")
+    ),
     "dq_unreadable_table": """
       WITH n AS (SELECT count(*) AS n FROM nation)
       SELECT 'read_table' AS "check", 'absent' AS "table", NULL::varchar AS "column",

@@ -539,6 +539,17 @@ def dq_sample(spark, folder):
     return results.select("check", "column", "value", "passed")
 
 
+@query
+def dq_sample_by_key(spark, folder):
+    """Real null shares in a sample of raw records that any run and any engine picks alike."""
+    key = ("video_id", "region", "publish_time", "channel_title", "views", "comment_count", "dislikes")
+    rules = QualityRules(
+        sample_rows=2_000, sample_key=key, critical_columns={"raw": ("likes", "title", "views")}
+    )
+    results = check_table(appearances(spark, folder), "raw", rules, AS_OF, ["row_count", "null_pct"])
+    return results.select("check", "column", "value", "passed")
+
+
 @query
 def dq_unreadable_table(spark, folder):
     """A table that cannot be read fails; the other one is still checked."""
