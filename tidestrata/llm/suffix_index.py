@@ -33,13 +33,13 @@ GRAM = 73
 SPREAD = LENGTH - GRAM + 1
 #: Batches that documents are dealt into, and distinct anchor contexts an owner holds.
 BATCHES = 4
-OWNED = 20_000
+OWNED = 10_000
 #: Distinct contexts of one sequence beyond which its strings are dealt out one by one.
 HOT_CONTEXTS = 50_000
 #: Texts that Python gets at a time.
-TEXTS = 256
+TEXTS = 128
 #: Strings looked at in one go.
-STRIDE = 1 << 20
+STRIDE = 1 << 16
 
 _LOW = np.uint64(2 * STRIDE - 1)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -134,7 +134,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 context = text[start - before : start - before + more + LENGTH]
                 digest = hashlib.blake2b(context + bytes([before]), digest_size=16).digest()
                 rows.append((k1[row], k2[row], gram, start, digest, context, before))
-            if len(rows) > 20_000 or (rows and row == batch.num_rows - 1):
+            if len(rows) > 5_000 or (rows and row == batch.num_rows - 1):
                 kinds = [pa.int64()] * 4 + [pa.binary()] * 2 + [pa.int32()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
