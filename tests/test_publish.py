@@ -29,11 +29,11 @@ def test_a_run_that_dies_between_tables_leaves_the_old_three(spark, cfg, raw, mo
     load_statistics(from_csv(raw({"views": "50", "publish_time": "2018"})), cfg)
     written = []
 
-    def dying(frame, name, partitions):
+    def dying(frame, name, partitions, **how):
         written.append(name)
         if len(written) == 3:
             raise RuntimeError("lost")
-        append(frame, name, partitions)
+        append(frame, name, partitions, **how)
 
     with monkeypatch.context() as broken:
         broken.setattr(module, "append", dying)

@@ -59,9 +59,16 @@ def evolve(frame: DataFrame, name: str) -> DataFrame:
     )
 
 
-def append(frame: DataFrame, name: str, partition_by: Sequence[str] = ("region",)) -> None:
+def append(
+    frame: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = ("region",),
+    *,
+    spread_rows: bool = True,
+) -> None:
     """Add rows, creating the table in the catalogue if needed."""
-    frame = spread(frame, partition_by)
+    if spread_rows:
+        frame = spread(frame, partition_by)
     if exists(frame.sparkSession, name):
         evolve(frame, name).write.insertInto(name)
     else:
