@@ -19,7 +19,11 @@ CATEGORIES_FOLDER = "raw_statistics_reference_data"
 
 
 def land_raw(
-    payloads: DataFrame, path: str, source: str, as_of: datetime | None = None
+    payloads: DataFrame,
+    path: str,
+    source: str,
+    as_of: datetime | None = None,
+    compression: str | None = None,
 ) -> DataFrame:
     """Write good payloads, one document per line, and give the manifest of all of them.
 
@@ -29,20 +33,26 @@ def land_raw(
 
     The payloads are read and judged once, into the shared folder; what follows reads columns of
     that. Folders, stamps and manifest all have the instant at which the run began.
+
+    ``compression`` names a codec of Spark's text sink, such as ``gzip``: JSON text is many times
+    the size of its columns, and the readers take compressed files by their ending.
     """
     as_of = as_of or datetime.now(timezone.utc)
     spark = payloads.sparkSession
     folder = scratch_folder(spark, "landing")
     trending, categories = by_kind(stored(assessed(payloads), f"{folder}/assessed"))
 
+    options = {"compression": compression} if compression else {}
     folders = ["region", "date", "hour"]
-    spread(stamped_documents(trending, source, as_of), folders).write.mode("append").partitionBy(
+    spread(stamped_documents(trending, source, as_of), folders).write.mode("append").options(
+        **options
+    ).partitionBy(
         *folders
     ).text(f"{path}/{TRENDING_FOLDER}")
 
     folders = ["region", "date"]
     stamped = stamped_documents(categories, source, as_of).drop("hour")
-    spread(stamped, folders).write.mode("overwrite").options(**PER_PARTITION).partitionBy(
+    spread(stamped, folders).write.mode("overwrite").options(**PER_PARTITION, **options).partitionBy(
         *folders
     ).text(f"{path}/{CATEGORIES_FOLDER}")
     result = manifest(trending.unionByName(categories.select(trending.columns)), as_of)
