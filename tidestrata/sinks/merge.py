@@ -16,9 +16,12 @@ from tidestrata.sinks.tables import append, evolve, exists, overwrite_partitions
 from tidestrata.sources.tables import table
 from tidestrata.workspace import shared_folder
 
-def stored(frame: DataFrame, path: str) -> DataFrame:
-    """``frame`` written to ``path`` and read back: later steps do not compute it again."""
-    frame.write.parquet(path)
+def stored(frame: DataFrame, path: str, compression: str | None = None) -> DataFrame:
+    """``frame`` written to ``path`` and read back: later steps do not compute it again.
+
+    ``compression`` names a Parquet codec, such as ``zstd`` for long texts; by default Spark's.
+    """
+    frame.write.options(**({"compression": compression} if compression else {})).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
