@@ -35,3 +35,10 @@ def test_append_vs_merge_joins_the_records_once(spark, monkeypatch):
     assert sum(n for (mode, _), n in result.items() if mode == "append") == 2 * sum(
         n for (mode, _), n in result.items() if mode == "merge"
     )
+
+
+def test_incremental_gold_joins_the_records_once(spark, monkeypatch):
+    counter, rows = counting(spark, monkeypatch)
+    result = workload.queries.QUERIES["incremental_gold"](spark, FOLDER).collect()
+    assert counter.value < 2 * rows
+    assert result and all(r["days_first"] > 0 for r in result)
