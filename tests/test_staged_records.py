@@ -42,3 +42,10 @@ def test_incremental_gold_joins_the_records_once(spark, monkeypatch):
     result = workload.queries.QUERIES["incremental_gold"](spark, FOLDER).collect()
     assert counter.value < 2 * rows
     assert result and all(r["days_first"] > 0 for r in result)
+
+
+def test_incremental_any_file_joins_the_records_once(spark, monkeypatch):
+    counter, rows = counting(spark, monkeypatch)
+    result = workload.queries.QUERIES["incremental_any_file"](spark, FOLDER).collect()
+    assert counter.value < 2 * rows
+    assert result

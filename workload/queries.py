@@ -707,7 +707,7 @@ def incremental_any_file(spark, folder):
     path = fresh_folder(spark, "any-file")
     cfg = replace(run_config(spark, "any_file"), csv_path=path, statistics_partitions=("region",))
     lot = F.crc32(F.concat_ws("|", "title", "views")) % 4
-    records = as_text(appearances(spark, folder).withColumn("lot", lot))
+    records = as_text(staged_appearances(spark, folder).withColumn("lot", lot))
     day = F.col("trending_date").alias("date")
 
     def write(number, columns, folders):
