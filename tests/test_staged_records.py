@@ -49,3 +49,10 @@ def test_incremental_any_file_joins_the_records_once(spark, monkeypatch):
     result = workload.queries.QUERIES["incremental_any_file"](spark, FOLDER).collect()
     assert counter.value < 2 * rows
     assert result
+
+
+def test_refreshed_days_joins_the_records_once(spark, monkeypatch):
+    counter, rows = counting(spark, monkeypatch)
+    result = workload.queries.QUERIES["refreshed_days"](spark, FOLDER).collect()
+    assert counter.value < 2 * rows
+    assert result
