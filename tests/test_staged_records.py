@@ -63,3 +63,10 @@ def test_incremental_silver_joins_the_records_once(spark, monkeypatch):
     result = workload.queries.QUERIES["incremental_silver"](spark, FOLDER).collect()
     assert counter.value < 2 * rows
     assert result
+
+
+def test_append_redelivered_joins_the_records_once(spark, monkeypatch):
+    counter, rows = counting(spark, monkeypatch)
+    result = workload.queries.QUERIES["append_redelivered"](spark, FOLDER).collect()
+    assert counter.value < 2 * rows
+    assert result
