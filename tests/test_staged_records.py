@@ -70,3 +70,11 @@ def test_append_redelivered_joins_the_records_once(spark, monkeypatch):
     result = workload.queries.QUERIES["append_redelivered"](spark, FOLDER).collect()
     assert counter.value < 2 * rows
     assert result
+
+
+def test_empty_input_joins_the_records_once(spark, monkeypatch):
+    counter, rows = counting(spark, monkeypatch)
+    result = workload.queries.QUERIES["empty_input"](spark, FOLDER).collect()
+    assert counter.value < 2 * rows
+    assert all(r["second_read"] == 0 for r in result)
+
