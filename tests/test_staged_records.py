@@ -78,3 +78,9 @@ def test_empty_input_joins_the_records_once(spark, monkeypatch):
     assert counter.value < 2 * rows
     assert all(r["second_read"] == 0 for r in result)
 
+
+def test_source_files_complete_joins_the_records_once(spark, monkeypatch):
+    counter, rows = counting(spark, monkeypatch)
+    result = workload.queries.QUERIES["source_files_complete"](spark, FOLDER).collect()
+    assert counter.value < 2 * rows
+    assert len(result) == rows
