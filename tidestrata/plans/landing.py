@@ -17,9 +17,6 @@ from tidestrata.workspace import scratch_folder
 TRENDING_FOLDER = "raw_statistics"
 CATEGORIES_FOLDER = "raw_statistics_reference_data"
 
-# Parquet codec of the staged payloads.
-STAGED_CODEC = "zstd"
-
 
 def land_raw(
     payloads: DataFrame,
@@ -43,8 +40,7 @@ def land_raw(
     as_of = as_of or datetime.now(timezone.utc)
     spark = payloads.sparkSession
     folder = scratch_folder(spark, "landing")
-    # The staged documents are JSON text too, several times their columns under Spark's codec.
-    staged = stored(assessed(payloads), f"{folder}/assessed", STAGED_CODEC)
+    staged = stored(assessed(payloads), f"{folder}/assessed")
     trending, categories = by_kind(staged)
 
     options = {"compression": compression} if compression else {}
