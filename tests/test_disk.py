@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import tidestrata.plans.silver as silver
+import workload.queries
 from conftest import AS_OF
 from tidestrata.operators.partials import DAY
 from tidestrata.plans import clean_statistics, load_statistics
@@ -16,6 +17,10 @@ from tidestrata.sinks import append
 from tidestrata.sinks.merge import only_partitions, stored
 from tidestrata.sources import table
 from tidestrata.workspace import CLEANUP
+from workload.compare import TESTDATA
+from workload.queries import QUERIES
+
+FOLDER = f"{TESTDATA}/sf0.001"
 
 
 def shuffle_files(spark) -> set[str]:
@@ -88,3 +93,20 @@ def test_partitions_are_picked_without_a_shuffle_of_the_rows(spark):
         assert sorted(r["video_id"] for r in picked.collect()) == ["n", "v1", "v3"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("name", ["gated_gold"])
+def test_raw_csv_files_are_compressed(spark, name, monkeypatch):
+    original, folders = workload.queries.fresh_folder, []
+
+    def fresh_folder(spark, kind):
+        folders.append(original(spark, kind))
+        return folders[-1]
+
+    monkeypatch.setattr(workload.queries, "fresh_folder", fresh_folder)
+    assert QUERIES[name](spark, FOLDER).count() > 0
+    paths = [f.removeprefix("file:") for f in folders]
+    files = [f for p in paths for f in glob.glob(f"{p}/**/part-*", recursive=True) if ".csv" in f.lower()]
+    assert files and all(f.lower().endswith(".csv.gz") for f in files)
+    if name == "incremental_any_file":
+        assert any(f.endswith(".CSV.gz") for f in files)
