@@ -95,7 +95,7 @@ def test_partitions_are_picked_without_a_shuffle_of_the_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-@pytest.mark.parametrize("name", ["gated_gold", "incremental_silver"])
+@pytest.mark.parametrize("name", ["gated_gold", "incremental_silver", "incremental_any_file"])
 def test_raw_csv_files_are_compressed(spark, name, monkeypatch):
     original, folders = workload.queries.fresh_folder, []
 
