@@ -95,7 +95,7 @@ def test_partitions_are_picked_without_a_shuffle_of_the_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-@pytest.mark.parametrize("name", ["gated_gold", "incremental_silver", "incremental_any_file"])
+@pytest.mark.parametrize("name", ["gated_gold", "incremental_silver", "incremental_any_file", "blocked_gate"])
 def test_raw_csv_files_are_compressed(spark, name, monkeypatch):
     original, folders = workload.queries.fresh_folder, []
 
@@ -110,3 +110,12 @@ def test_raw_csv_files_are_compressed(spark, name, monkeypatch):
     assert files and all(f.lower().endswith(".csv.gz") for f in files)
     if name == "incremental_any_file":
         assert any(f.endswith(".CSV.gz") for f in files)
+
+
+def test_rejected_input_joins_the_records_once(spark, monkeypatch):
+    from test_staged_records import counting
+
+    counter, rows = counting(spark, monkeypatch)
+    result = QUERIES["rejected_input"](spark, FOLDER).collect()
+    assert counter.value < 2 * rows
+    assert result and all(r["rows_rejected"] > 0 for r in result)
