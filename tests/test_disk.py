@@ -18,7 +18,7 @@ from tidestrata.sinks.merge import only_partitions, stored
 from tidestrata.sources import table
 from tidestrata.workspace import CLEANUP
 from workload.compare import TESTDATA
-from workload.queries import QUERIES
+from workload.queries import MANY_FILES, QUERIES
 
 FOLDER = f"{TESTDATA}/sf0.001"
 
@@ -95,7 +95,7 @@ def test_partitions_are_picked_without_a_shuffle_of_the_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-@pytest.mark.parametrize("name", ["gated_gold", "incremental_silver", "incremental_any_file", "blocked_gate"])
+@pytest.mark.parametrize("name", ["gated_gold", "blocked_gate", "incremental_silver", "incremental_any_file"])
 def test_raw_csv_files_are_compressed(spark, name, monkeypatch):
     original, folders = workload.queries.fresh_folder, []
 
@@ -119,3 +119,17 @@ def test_rejected_input_joins_the_records_once(spark, monkeypatch):
     result = QUERIES["rejected_input"](spark, FOLDER).collect()
     assert counter.value < 2 * rows
     assert result and all(r["rows_rejected"] > 0 for r in result)
+
+
+def test_documents_of_many_files_are_moved_by_their_tasks(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    original, seen = DataFrameWriter.options, []
+
+    def options(self, **given):
+        seen.append(given)
+        return original(self, **given)
+
+    monkeypatch.setattr(DataFrameWriter, "options", options)
+    assert QUERIES["api_documents_layout"](spark, FOLDER).count() > 0
+    assert any(MANY_FILES.items() <= given.items() and given.get("maxRecordsPerFile") == 1 for given in seen)
