@@ -34,13 +34,14 @@ def plan_of(frame: DataFrame) -> str:
 
 def test_writes_leave_no_shuffle_files(spark, databases, tmp_path):
     before, setting = shuffle_files(spark), spark.conf.get(CLEANUP, None)
-    rows = spark.range(1000).select("id", (F.col("id") % 3).cast("string").alias("region"))
+    rows = spark.range(200_000).select("id", (F.col("id") % 3).cast("string").alias("region"))
     kept = stored(rows.repartition(4, "id"), str(tmp_path / "kept"))
     for _ in range(2):
         append(kept, f"{databases[0]}.rows")
     assert table(spark, f"{databases[0]}.rows").groupBy("region").count().count() == 3
-    assert kept.count() == 1000 and table(spark, f"{databases[0]}.rows").count() == 2000
+    assert kept.count() == 200_000 and table(spark, f"{databases[0]}.rows").count() == 400_000
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    # Those of the counts hold a few rows.
     left = {f for f in shuffle_files(spark) - before if os.path.getsize(f) > 5000}
     assert not left
     assert spark.conf.get(CLEANUP, None) == setting
